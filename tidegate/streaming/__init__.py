@@ -1,0 +1 @@
+"""Every job of this library is a bounded batch run, so there is nothing to stream."""
