@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidegate.functions.casts import lenient_cast
 from tidegate.functions.names import quoted, resolve
 from tidegate.sources.schema import TableColumn, map_type
 
@@ -24,11 +26,14 @@ def cast_to_columns(
         found = resolve(df.columns, column.name)
         if found is not None:
             targets[found] = column
-    return df.select([_cast(name, targets.get(name), keep_nested) for name in df.columns])
+    return df.select(
+        [_cast(field, targets.get(field.name), keep_nested) for field in df.schema.fields]
+    )
 
 
-def _cast(name: str, target: TableColumn | None, keep_nested: bool):
-    column = F.col(quoted(name))
+def _cast(field: T.StructField, target: TableColumn | None, keep_nested: bool):
+    column = F.col(quoted(field.name))
     if target is None:
         return column
-    return column.try_cast(map_type(target.type_text, keep_nested)).alias(target.name)
+    cast = lenient_cast(column, field.dataType, map_type(target.type_text, keep_nested))
+    return cast.alias(target.name)

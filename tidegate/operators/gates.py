@@ -28,16 +28,14 @@ def verdict(outcome_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def read_action(passed: Column, policy: Column, read_if_fail: Column) -> Column:
-    return F.when(passed | ((policy == "flags") & read_if_fail), READ).otherwise(STOP)
+def goes_on(passed, policy, flag):
+    """Whether a gate lets a run go on; for columns as for plain values."""
+    return passed | ((policy == "flags") & flag)
 
 
-def write_action(passed: Column, policy: Column, write_if_fail: Column) -> Column:
-    return F.when(passed | ((policy == "flags") & write_if_fail), WRITE).otherwise(SKIP)
+def read_action(passed: Column, policy: Column, read_if_fail: Column) -> Column:
+    return F.when(goes_on(passed, policy, read_if_fail), READ).otherwise(STOP)
 
 
-def decide(outcome_rows: DataFrame, action, policy: str, flag: bool) -> str:
-    """The action for one rule set; one row comes to the driver."""
-    if policy not in POLICIES:
-        raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    return verdict(outcome_rows).select(action(F.col("passed"), F.lit(policy), F.lit(flag))).first()[0]
+def write_action(passed: Column, policy: Column, write_if_fail: Column) -> Column:
+    return F.when(goes_on(passed, policy, write_if_fail), WRITE).otherwise(SKIP)

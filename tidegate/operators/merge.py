@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.names import quoted, resolve_all
+from tidegate.storage import stage
 
 SALT = "_salt"
 # A sketch of this size finds every key above the shares used here.
@@ -62,40 +63,65 @@ def new_rows(
 ) -> DataFrame:
     """Source rows whose key is not in the target, duplicates and NULL keys included.
 
-    Only the key columns of the target are read, and its copies of a key are folded before the
-    shuffle.  The profile of the source (taken here if not given) decides the rest:
-
-    * a source whose keys measurably fit ``broadcast_bytes`` filters the target's keys on the map
-      side, so a small batch against a large table does not shuffle that table's keys;
-    * hot source keys are salted, and the target's copy of such a key is repeated once per salt.
+    Of the target only the key columns are read, and copies of a key are folded before any shuffle.
+    The profile of the source (taken here if not given) decides how the two meet.
     """
     keys = resolve_all(source.columns, keys)
     profile = profile or profile_keys(source, keys)
     known = target.select([F.col(quoted(k)) for k in resolve_all(target.columns, keys)]).toDF(*keys)
     if profile.key_bytes <= broadcast_bytes:
-        wanted = source.select([F.col(quoted(k)) for k in keys]).distinct()
-        known = known.join(F.broadcast(wanted), keys, "left_semi")
+        joined = _by_broadcast(source, known, keys)
+    else:
+        joined = _by_shuffle(source, known, keys, profile, salts)
+    return joined.select([F.col(quoted(c)) for c in source.columns])
+
+
+def _by_broadcast(source: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """For a source whose keys measurably fit in memory: neither side is shuffled.
+
+    The source's keys filter the target's where those are read.  What is left of them, without copies,
+    is a subset of the source's keys, so it is safe to broadcast as well.
+    """
+    wanted = source.select([F.col(quoted(k)) for k in keys])
+    hits = known.join(F.broadcast(wanted), keys, "left_semi").distinct()
+    return source.join(F.broadcast(hits), keys, "left_anti")
+
+
+def _by_shuffle(
+    source: DataFrame, known: DataFrame, keys: list[str], profile: KeyProfile, salts: int
+) -> DataFrame:
+    """Both sides shuffled by key.  A hot source key is spread over ``salts`` tasks, and the target's
+    copy of that key is repeated once per salt."""
     if not profile.hot_hashes:
-        return source.join(known.distinct(), keys, "left_anti").select(_all(source))
+        return source.join(known.distinct(), keys, "left_anti")
     hot = key_hash(keys).isin(list(profile.hot_hashes))
     # The id of the task a row is in comes back the same when the task is run again.
     spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     salted = source.withColumn(SALT, F.when(hot, spread).otherwise(F.lit(0)))
     every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     known = known.withColumn(SALT, F.explode(every)).distinct()
-    return salted.join(known, [*keys, SALT], "left_anti").select(_all(source))
+    return salted.join(known, [*keys, SALT], "left_anti")
 
 
 def merge_insert(
-    spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], **options
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    staged: bool = True,
+    **options,
 ) -> None:
     """Append the new rows of ``source`` to a catalog table, columns matched by name.
 
-    Rows are only added, so a run that is repeated after it succeeded adds nothing.
+    The source is looked at more than once, so it is staged first; turn that off for one that is a
+    plain scan.  Rows are only added, so a run that is repeated after it succeeded adds nothing.
     """
+    held = stage(source, "merge") if staged else None
     target = spark.table(table)
-    fresh = new_rows(source, target, keys, **options)
+    fresh = new_rows(held.frame if held else source, target, keys, **options)
     aligned(fresh, target).write.insertInto(table, overwrite=False)
+    if held:
+        held.release()
 
 
 def merged(source: DataFrame, target: DataFrame, keys: Sequence[str], **options) -> DataFrame:
@@ -120,10 +146,6 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(quoted(k)) for k in keys])
 
 
-def _all(df: DataFrame) -> list[Column]:
-    return [F.col(quoted(c)) for c in df.columns]
-
-
 def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
     """Bytes of the key of a row: measured for texts, 16 for anything else, and 16 for the row."""
     size = F.lit(16).cast("long")

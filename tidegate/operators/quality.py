@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.casts import lenient_cast
 from tidegate.functions.names import quoted, resolve
 from tidegate.spec import Rule
 
@@ -148,6 +149,6 @@ def _outside(df: DataFrame, column: str, rule: Rule) -> Column:
         listed = listed | F.coalesce(value.cast("string").isin(texts), F.lit(False))
     if numbers:
         if not isinstance(df.schema[column].dataType, T.NumericType):
-            value = value.try_cast("double")
+            value = lenient_cast(value, df.schema[column].dataType, T.DoubleType())
         listed = listed | F.coalesce(value.isin(numbers), F.lit(False))
     return F.count_if(~listed)

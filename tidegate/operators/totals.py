@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.casts import lenient_cast
+
 # Fixed value: the type amounts are summed in.
 AMOUNT_TYPE = "decimal(38,10)"
 
@@ -24,7 +26,9 @@ def totals(
 
     ``exact`` takes numbers or texts as ``decimal(38,10)``; a text that is no number counts as NULL.
     """
-    value = F.col(amount).try_cast(AMOUNT_TYPE) if exact else F.col(amount)
+    value = F.col(amount)
+    if exact:
+        value = lenient_cast(value, df.schema[amount].dataType, AMOUNT_TYPE)
     return df.groupBy(*keys).agg(F.sum(value).alias(name))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import record
-from tidegate.operators.quality import OUTCOME_SCHEMA, outcomes, stamp_outcomes
+from tidegate.operators.quality import OUTCOME_SCHEMA, PASSED, outcomes, stamp_outcomes
 from tidegate.operators.sinks import register_partitions, write_outcomes, write_partitioned
 from tidegate.sources.scans import expose_view, read_dependency
 from tidegate.sources.schema import partition_columns, table_columns
@@ -62,6 +62,8 @@ def run_job(
     that.  Turn it off where the result is a cheap projection of its inputs and a second scan of those
     costs less than a second write.
     """
+    if policy not in gates.POLICIES:
+        raise ValueError(f"policy must be one of {gates.POLICIES}, not {policy!r}")
     report = RunReport(spec.table, lake.target(spec.layer, spec.table))
     temporary = []
 
@@ -81,12 +83,12 @@ def run_job(
                 source = settle(source, spec.table)
             else:
                 expose_view(source, dependency.table)
-            action = check(
-                source, dependency.rules, dependency.table, READ_PHASE, lake, as_of, report,
-                gates.read_action, policy, dependency.read_if_fail, approx_rsd,
+            passed = check(
+                source, dependency.rules, dependency.table, READ_PHASE, lake, as_of, report, approx_rsd
             )
-            report.reads[dependency.table] = action
-            if action == gates.STOP:
+            read = gates.goes_on(passed, policy, dependency.read_if_fail)
+            report.reads[dependency.table] = gates.READ if read else gates.STOP
+            if not read:
                 raise QualityStop(f"{dependency.table} failed its quality rules", report)
 
         if landing:
@@ -97,11 +99,9 @@ def run_job(
             result = cast_to_columns(spark.sql(sql), table_columns(spark, spec.identifier), keep_nested)
             result = settle(result, spec.table)
 
-        report.write = check(
-            result, spec.rules, spec.table, RESULT_PHASE, lake, as_of, report,
-            gates.write_action, policy, spec.write_if_fail, approx_rsd,
-        )
-        if report.written:
+        passed = check(result, spec.rules, spec.table, RESULT_PHASE, lake, as_of, report, approx_rsd)
+        if gates.goes_on(passed, policy, spec.write_if_fail):
+            report.write = gates.WRITE
             columns = partition_columns(spark, spec.identifier)
             write_partitioned(result, report.path, columns, as_of, overwrite)
             record(result, lake.ledger, spec.table, columns, as_of)
@@ -121,16 +121,16 @@ def check(
     lake: Lake,
     as_of: datetime,
     report: RunReport,
-    action,
-    policy: str,
-    flag: bool,
-    approx_rsd: float | None = None,
-) -> str:
-    """Evaluate a rule set, store its outcomes, and say what to do.  One outcome row per rule is
-    brought to the driver, so the frame is aggregated once for both."""
+    approx_rsd: float | None,
+) -> bool:
+    """Evaluate a rule set, store its outcomes, and say whether all rules passed.
+
+    The frame is aggregated once: the outcomes, one row per rule, come to the driver, and both the
+    stored rows and the answer are made from them.
+    """
     rows = outcomes(df, rules, approx_rsd).collect()
     report.outcomes[f"{phase}/{table}"] = rows
-    frame = df.sparkSession.createDataFrame(rows, OUTCOME_SCHEMA)
     if rows:
+        frame = df.sparkSession.createDataFrame(rows, OUTCOME_SCHEMA)
         write_outcomes(stamp_outcomes(frame, table, as_of), lake.outcomes, phase, as_of)
-    return gates.decide(frame, action, policy, flag)
+    return all(row["outcome"] == PASSED for row in rows)
