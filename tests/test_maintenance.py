@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import plan_of
+from tidegate.operators import maintenance
 from tidegate.operators.ledger import read_ledger, record
 from tidegate.operators.maintenance import (
     compact,
@@ -16,7 +17,7 @@ from tidegate.operators.maintenance import (
 )
 from tidegate.plans.queries import register, unique
 from tidegate.sources import TableColumn
-from tidegate.storage import fresh_path
+from tidegate.storage import fresh_path, stage
 
 
 @pytest.fixture
@@ -75,11 +76,26 @@ def test_a_large_partition_is_rewritten_as_several_files(spark, scattered):
     assert spark.read.parquet(scattered).count() == 4100
 
 
-def test_no_pick_is_broadcast_beyond_the_checked_size(spark, scattered):
-    assert compact(spark, scattered, COLUMNS, broadcast_rows=0) == 3
+def test_picked_partitions_are_taken_in_batches(spark, scattered):
+    assert compact(spark, scattered, COLUMNS, batch=1) == 3
+    assert files(spark, scattered) == {"01": 1, "a:b c+d%": 1, None: 1, "tidy": 1}
+    spark.catalog.refreshByPath(scattered)
     assert spark.read.parquet(scattered).count() == 4100
 
 
+def test_only_picked_partitions_are_read(spark, scattered, monkeypatch):
+    plans = []
+
+    def look(df, label):
+        plans.append((label, plan_of(df)))
+        return stage(df, label)
+
+    monkeypatch.setattr(maintenance, "stage", look)
+    compact(spark, scattered, COLUMNS)
+    assert [label for label, _ in plans] == ["compaction-plan", "compaction"]
+    assert "PartitionFilters: [invoke(StructsToJson" in plans[1][1]
+
+
 def test_a_table_without_partitions(spark):
     path = fresh_path(spark, "flat")
     spark.range(0, 100, 1, 10).write.parquet(path)

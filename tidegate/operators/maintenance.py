@@ -9,11 +9,11 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.keys import partition_key
+from tidegate.functions.keys import partition_json, partition_key
 from tidegate.functions.names import quoted
 from tidegate.operators.ledger import LEDGER_KEY
 from tidegate.operators.sinks import CODEC
@@ -79,39 +79,52 @@ def compact(
     root: str,
     partition_cols: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
-    broadcast_rows: int = 100_000,
+    batch: int = 2000,
 ) -> int:
     """Rewrite the partitions the plan picks and return how many files they have now, at most.
 
-    The picked partitions are first copied to a staged table, because a folder must not be replaced
-    while it is read; the copy is dropped once the target is whole again.  The rewrite shuffles by
-    partition and a salt below the number of planned files, so a partition that holds most of the
-    data is split over many tasks, and none gets more files than planned.
+    Picked partitions are taken ``batch`` at a time, so the list that prunes the scan to them stays
+    small, however many there are.
     """
-    picked = compaction_plan(spark, root, partition_cols, target_bytes).where(
-        (F.col("n_small") >= 2) & (F.col("n_files") > F.col("planned_files"))
+    picked = compaction_plan(spark, root, partition_cols, target_bytes).where("rewrite")
+    picked = picked.select(
+        *_columns(partition_cols),
+        F.col("planned_files").alias("_planned"),
+        partition_json(picked, partition_cols).alias("_key"),
     )
-    size = picked.agg(
-        F.count(F.lit(1)).alias("partitions"), F.sum("planned_files").alias("files")
-    ).first()
-    if size["partitions"] == 0:
-        return 0
-    picked = picked.select(*_columns(partition_cols), F.col("planned_files").alias("_planned"))
-    if size["partitions"] <= broadcast_rows:
-        picked = F.broadcast(picked)
-    names = [f"_p{i}" for i in range(len(partition_cols))]
-    picked = picked.toDF(*names, "_planned")
+    files = 0
+    # Staged, because every rewrite changes the listing the plan is made from.
+    held = stage(picked, "compaction-plan")
+    listed = held.frame.toLocalIterator()
+    while some := list(itertools.islice(listed, batch)):
+        files += _rewrite(spark, root, partition_cols, some, held.frame.schema)
+    held.release()
+    return files
+
+
+def _rewrite(spark, root, partition_cols, picked: list[Row], schema: T.StructType) -> int:
+    """One batch: copied to a staged table, because a folder must not be replaced while it is read,
+    then written back, partition by partition, while the copy is still there.
+
+    The way back shuffles by partition and a salt below the number of planned files, so a partition
+    that holds most of the data is split over many tasks, and none gets more files than planned.
+    """
     rows = _text_partitions(spark, root, partition_cols)
+    rows = rows.where(partition_json(rows, partition_cols).isin([r["_key"] for r in picked]))
+    plan = spark.createDataFrame(picked, schema).drop("_key")
+    plan = plan.toDF(*[f"_p{i}" for i in range(len(partition_cols))], "_planned")
     same = F.lit(True)
-    for column, name in zip(partition_cols, names):
-        same = same & rows[quoted(column)].eqNullSafe(F.col(name))
-    chosen = rows.join(picked, same, "inner").drop(*names)
-
-    staged = stage(chosen, "compaction")
+    for i, column in enumerate(partition_cols):
+        same = same & rows[quoted(column)].eqNullSafe(F.col(f"_p{i}"))
+    chosen = rows.join(F.broadcast(plan), same, "inner").select(
+        *[F.col(quoted(c)) for c in rows.columns], "_planned"
+    )
+    held = stage(chosen, "compaction")
+    files = sum(r["_planned"] for r in picked)
     # Input splits are whole files or slices of them, the same again when a task is repeated.
-    salted = staged.frame.withColumn("_bin", F.pmod(F.spark_partition_id(), F.col("_planned")))
+    salted = held.frame.withColumn("_bin", F.pmod(F.spark_partition_id(), F.col("_planned")))
     (
-        salted.repartition(int(size["files"]), *_columns(partition_cols), F.col("_bin"))
+        salted.repartition(files, *_columns(partition_cols), F.col("_bin"))
         .drop("_bin", "_planned")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -119,8 +132,8 @@ def compact(
         .partitionBy(*partition_cols)
         .parquet(root)
     )
-    staged.release()
-    return int(size["files"])
+    held.release()
+    return files
 
 
 def expired_partitions(
