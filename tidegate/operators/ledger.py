@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidegate.functions.dates import stamp_literal
 from tidegate.functions.keys import partition_json, partition_key
 from tidegate.functions.names import quoted, resolve_all
-from tidegate.storage import path_has_files
+from tidegate.storage import empty_frame, path_has_files
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -44,7 +44,7 @@ def entries(df: DataFrame, table_name: str, columns: Sequence[str], as_of: datet
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger, one row per key.  Two jobs that raced may have added one twice; the first counts."""
     if not path_has_files(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return empty_frame(spark, LEDGER_SCHEMA)
     rows = spark.read.schema(LEDGER_SCHEMA).parquet(path)
     first = F.min_by(F.struct("data_prtc", "last_update_date"), F.col("last_update_date"))
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,12 +97,14 @@ def compact(
     held = stage(picked, "compaction-plan")
     listed = held.frame.toLocalIterator()
     while some := list(itertools.islice(listed, batch)):
-        files += _rewrite(spark, root, partition_cols, some, held.frame.schema)
+        keys = [r["_key"] for r in some]
+        plan = held.frame.where(F.col("_key").isin(keys)).drop("_key")
+        files += _rewrite(spark, root, partition_cols, keys, plan, sum(r["_planned"] for r in some))
     held.release()
     return files
 
 
-def _rewrite(spark, root, partition_cols, picked: list[Row], schema: T.StructType) -> int:
+def _rewrite(spark, root, partition_cols, keys: list[str], plan: DataFrame, files: int) -> int:
     """One batch: copied to a staged table, because a folder must not be replaced while it is read,
     then written back, partition by partition, while the copy is still there.
 
@@ -110,8 +112,7 @@ def _rewrite(spark, root, partition_cols, picked: list[Row], schema: T.StructTyp
     that holds most of the data is split over many tasks, and none gets more files than planned.
     """
     rows = _text_partitions(spark, root, partition_cols)
-    rows = rows.where(partition_json(rows, partition_cols).isin([r["_key"] for r in picked]))
-    plan = spark.createDataFrame(picked, schema).drop("_key")
+    rows = rows.where(partition_json(rows, partition_cols).isin(keys))
     plan = plan.toDF(*[f"_p{i}" for i in range(len(partition_cols))], "_planned")
     same = F.lit(True)
     for i, column in enumerate(partition_cols):
@@ -120,7 +121,6 @@ def _rewrite(spark, root, partition_cols, picked: list[Row], schema: T.StructTyp
         *[F.col(quoted(c)) for c in rows.columns], "_planned"
     )
     held = stage(chosen, "compaction")
-    files = sum(r["_planned"] for r in picked)
     # Input splits are whole files or slices of them, the same again when a task is repeated.
     salted = held.frame.withColumn("_bin", F.pmod(F.spark_partition_id(), F.col("_planned")))
     (

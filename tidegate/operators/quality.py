@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.casts import lenient_cast
 from tidegate.functions.names import quoted, resolve
 from tidegate.spec import Rule
+from tidegate.storage import empty_frame
 
 PASSED = "Passed"
 FAILED = "Failed"
@@ -60,9 +61,8 @@ def outcomes_of_sets(
         for rule in rules:
             rows.append(_outcome(df, name, rule, metrics, approx_rsd))
     if not rows:
-        return df.sparkSession.createDataFrame(
-            [], T.StructType([T.StructField("rule_set", T.StringType()), *OUTCOME_SCHEMA.fields])
-        )
+        schema = T.StructType([T.StructField("rule_set", T.StringType()), *OUTCOME_SCHEMA.fields])
+        return empty_frame(df.sparkSession, schema)
     if metrics:
         measured = df.agg(*[c.alias(_metric_name(k, metrics)) for k, c in metrics.items()])
     else:
@@ -70,6 +70,17 @@ def outcomes_of_sets(
     return measured.select(F.inline(F.array(*rows)))
 
 
+def outcome_frame(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
+    """Outcomes that came to the driver as a frame again: constants, no Python worker is started."""
+    if not rows:
+        return empty_frame(spark, OUTCOME_SCHEMA)
+    made = [
+        F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in OUTCOME_SCHEMA])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*made)))
+
+
 def stamp_outcomes(df: DataFrame, table_name: str, as_of: datetime) -> DataFrame:
     """Outcomes with the table they are about and the day of the run."""
     return df.withColumns(

@@ -48,20 +48,23 @@ def write_partitioned(
     as_of: datetime | None = None,
     overwrite: str = "dynamic",
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    balance: bool = True,
 ) -> None:
     """Write parquet by partition, stamped with ``as_of`` if given.
 
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``, so a rerun is safe and the
     rest stays; ``"static"`` replaces the whole folder.  Without partition columns both replace all.
+    ``balance=False`` saves the shuffle for rows that already lie as they should be written.
     """
     if overwrite not in ("dynamic", "static"):
         raise ValueError(f"overwrite must be 'dynamic' or 'static', not {overwrite!r}")
     columns = resolve_all(df.columns, partition_cols)
     if as_of is not None:
         df = stamped(df, as_of)
+    if balance:
+        df = balanced(df, columns)
     (
-        balanced(df, columns)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
         .option("compression", CODEC)
@@ -77,8 +80,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_outcomes(outcome_rows: DataFrame, root: str, phase: str, as_of: datetime) -> None:
-    """Stamped outcomes under ``root/phase``; earlier outcomes of other tables and days stay."""
-    write_partitioned(outcome_rows, f"{root}/{phase}", OUTCOME_PARTITIONS, as_of)
+    """Stamped outcomes under ``root/phase``; earlier outcomes of other tables and days stay.
+
+    There is one row per rule, so they go into one file, by one task.
+    """
+    rows = outcome_rows.coalesce(1)
+    write_partitioned(rows, f"{root}/{phase}", OUTCOME_PARTITIONS, as_of, balance=False)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -118,10 +125,12 @@ def upsert_keyed(df: DataFrame, path: str, keys: Sequence[str], order_by: Sequen
     staged.release()
 
 
-def register_partitions(spark: SparkSession, *identifiers: str) -> None:
-    """Make written partition folders known to the catalog."""
-    for identifier in identifiers:
-        if partition_columns(spark, identifier):
-            spark.sql(f"MSCK REPAIR TABLE {identifier}")
-        else:
-            spark.catalog.refreshTable(identifier)
+def register_partitions(spark: SparkSession, identifier: str, partitioned: bool | None = None) -> None:
+    """Make written partition folders known to the catalog, which is asked for the table's layout if
+    the caller does not know it."""
+    if partitioned is None:
+        partitioned = bool(partition_columns(spark, identifier))
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {identifier}")
+    else:
+        spark.catalog.refreshTable(identifier)

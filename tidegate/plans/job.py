@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import record
-from tidegate.operators.quality import OUTCOME_SCHEMA, PASSED, outcomes, stamp_outcomes
+from tidegate.operators.quality import PASSED, outcome_frame, outcomes, stamp_outcomes
 from tidegate.operators.sinks import register_partitions, write_outcomes, write_partitioned
 from tidegate.sources.scans import expose_view, read_dependency
-from tidegate.sources.schema import partition_columns, table_columns
+from tidegate.sources.schema import table_columns
 from tidegate.spec import JobSpec, Rule
 from tidegate.storage import Lake, stage
 
@@ -91,22 +91,25 @@ def run_job(
             if not read:
                 raise QualityStop(f"{dependency.table} failed its quality rules", report)
 
+        columns = table_columns(spark, spec.identifier)
         if landing:
             result = source
         else:
             if sql is None:
                 raise ValueError(f"a {spec.layer} job needs its SQL")
-            result = cast_to_columns(spark.sql(sql), table_columns(spark, spec.identifier), keep_nested)
+            result = cast_to_columns(spark.sql(sql), columns, keep_nested)
             result = settle(result, spec.table)
 
         passed = check(result, spec.rules, spec.table, RESULT_PHASE, lake, as_of, report, approx_rsd)
         if gates.goes_on(passed, policy, spec.write_if_fail):
             report.write = gates.WRITE
-            columns = partition_columns(spark, spec.identifier)
-            write_partitioned(result, report.path, columns, as_of, overwrite)
-            record(result, lake.ledger, spec.table, columns, as_of)
-            register_partitions(spark, spec.identifier)
-        register_partitions(spark, *[t for t in outcome_tables if spark.catalog.tableExists(t)])
+            by = [c.name for c in columns if c.is_partition]
+            write_partitioned(result, report.path, by, as_of, overwrite)
+            record(result, lake.ledger, spec.table, by, as_of)
+            register_partitions(spark, spec.identifier, partitioned=bool(by))
+        for name in outcome_tables:
+            if spark.catalog.tableExists(name):
+                register_partitions(spark, name)
         return report
     finally:
         for one in temporary:
@@ -131,6 +134,6 @@ def check(
     rows = outcomes(df, rules, approx_rsd).collect()
     report.outcomes[f"{phase}/{table}"] = rows
     if rows:
-        frame = df.sparkSession.createDataFrame(rows, OUTCOME_SCHEMA)
-        write_outcomes(stamp_outcomes(frame, table, as_of), lake.outcomes, phase, as_of)
+        frame = stamp_outcomes(outcome_frame(df.sparkSession, rows), table, as_of)
+        write_outcomes(frame, lake.outcomes, phase, as_of)
     return all(row["outcome"] == PASSED for row in rows)

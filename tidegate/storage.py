@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.spec import SPEC_FILE, SQL_FILE, JobSpec, parse_spec
 
@@ -102,6 +104,11 @@ def stage(df: DataFrame, label: str) -> Staged:
     return Staged(spark.read.schema(df.schema).parquet(path), path)
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, with a schema, and no Python worker to make them."""
+    return spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def path_has_files(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
