@@ -1,11 +1,14 @@
+import json
+import os
 from datetime import datetime
 
 import pytest
 
 from tests.test_spec import dependency, raw
+from tidegate.__main__ import main
 from tidegate.operators.ledger import read_ledger
 from tidegate.operators.quality import STORED_OUTCOME_SCHEMA
-from tidegate.plans.job import QualityStop, run_job
+from tidegate.plans.job import QualityStop, run_job, run_merge
 from tidegate.plans.queries import register
 from tidegate.sources import TableColumn
 from tidegate.spec import parse_spec
@@ -112,8 +115,6 @@ def test_unknown_policy_and_missing_sql(spark, lake):
 
 
 def test_nothing_staged_is_left_behind(spark, lake):
-    import os
-
     before = set(os.listdir(f"{shared_folder(spark)}/tidegate"))
     run_job(spark, spec(), lake, AS_OF, SQL)
     made = set(os.listdir(f"{shared_folder(spark)}/tidegate")) - before
@@ -162,3 +163,29 @@ def test_outcome_tables_are_registered_where_they_exist(spark, lake):
         outcome_tables=("tidegate_test.predq_seen", "tidegate_test.not_there"),
     )
     assert spark.table("tidegate_test.predq_seen").count() == 1
+
+
+def test_a_job_is_run_from_its_artefacts(spark, tmp_path, capsys):
+    lake = Lake.under(str(tmp_path))
+    folder = tmp_path / "artefacts" / "tb_job_out"
+    folder.mkdir(parents=True)
+    job = raw(
+        TableName="tb_job_out",
+        DatabaseName="tidegate_test",
+        Dependencies=[dependency("tb_job_in", "tidegate_test", Predicate=[])],
+        Quality={"Rules": ["RowCount = 2"], "WriteIfFail": False},
+    )
+    (folder / "orchestration.json").write_text(json.dumps(job))
+    (folder / "sparksql.sql").write_text(SQL)
+    path = fresh_path(spark, "job-input")
+    spark.createDataFrame([("a", "1.5"), ("a", "2"), ("b", "3")], "k string, v string").write.parquet(path)
+    register(spark, "tidegate_test", "tb_job_in", path)
+    register(spark, "tidegate_test", "tb_job_out", lake.target("SOT", "tb_job_out"), COLUMNS)
+    main(["--table_name", "tb_job_out", "--lake", str(tmp_path), "--as_of", "2024-02-01"])
+    assert "tb_job_out: write" in capsys.readouterr().out
+    assert target(spark) == WANT
+
+
+def test_merge_sources_need_names_of_their_own(spark):
+    with pytest.raises(ValueError):
+        run_merge(spark, ["a.t", "b.T"], "SELECT 1", "c.t", ["k"])

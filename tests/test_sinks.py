@@ -10,6 +10,7 @@ from tidegate.operators.sinks import (
     balanced,
     keyed_text,
     latest_by_key,
+    read_keyed,
     stamped,
     upsert_keyed,
     write_outcomes,
@@ -136,15 +137,32 @@ def test_latest_by_key(spark):
 
 def test_upsert_replaces_whole_rows(spark):
     path = fresh_path(spark, "keyed")
-    first = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, at int, v string")
-    second = spark.createDataFrame([(2, 0, None), (3, 9, "d")], "k int, at int, v string")
-    upsert_keyed(first, path, ["k"], ["at"])
-    assert rows(spark.read.parquet(path), "k", "at", "v") == [("1", "2", "b"), ("2", "1", "c")]
-    upsert_keyed(second, path, ["k"], ["at"])
-    want = [("1", "2", "b"), ("2", "0", None), ("3", "9", "d")]
-    assert rows(spark.read.parquet(path), "k", "at", "v") == want
-    upsert_keyed(second, path, ["k"], ["at"])
-    assert rows(spark.read.parquet(path), "k", "at", "v") == want
+    first = spark.createDataFrame(
+        [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "n")], "k int, at int, v string"
+    )
+    second = spark.createDataFrame(
+        [(2, 0, None), (3, 9, "d"), (None, 1, "o")], "k int, at int, v string"
+    )
+    upsert_keyed(first, path, ["K"], ["at"])
+    assert rows(read_keyed(spark, path), "k", "at", "v") == [
+        ("1", "2", "b"), ("2", "1", "c"), (None, "1", "n"),
+    ]
+    want = [("1", "2", "b"), ("2", "0", None), ("3", "9", "d"), (None, "1", "o")]
+    for _ in range(2):
+        upsert_keyed(second, path, ["K"], ["at"])
+        assert rows(read_keyed(spark, path), "k", "at", "v") == want
+
+
+def test_upsert_rewrites_only_the_buckets_of_the_batch(spark):
+    path = fresh_path(spark, "keyed")
+    table = spark.range(1000).select("id", F.lit("old").alias("v"))
+    upsert_keyed(table, path, ["id"], ["v"], buckets=16)
+    before = {r["path"] for r in stored_files(spark, path, ["key_bucket"]).collect()}
+    upsert_keyed(table.where("id = 7").withColumn("v", F.lit("new")), path, ["id"], ["v"], buckets=16)
+    after = {r["path"] for r in stored_files(spark, path, ["key_bucket"]).collect()}
+    assert len(before) == 16 and len(before & after) == 15
+    got = read_keyed(spark, path)
+    assert got.count() == 1000 and rows(got.where("v = 'new'"), "id") == [("7",)]
 
 
 def test_keyed_text_folds_before_the_shuffle(spark):

@@ -20,6 +20,9 @@ MAX_RECORDS_PER_FILE = 5_000_000
 CODEC = "zstd"
 OUTCOME_PARTITIONS = ["table_name", "anomesdia"]
 
+BUCKET_COLUMN = "key_bucket"
+KEY_BUCKETS = 64
+
 
 def stamped(df: DataFrame, as_of: datetime) -> DataFrame:
     """``df`` with one time of writing for all rows, in place of a column of that name if it has one."""
@@ -108,21 +111,44 @@ def keyed_text(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     return as_text(latest_by_key(df, keys, order_by))
 
 
-def upsert_keyed(df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
+def upsert_keyed(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    buckets: int = KEY_BUCKETS,
+) -> None:
     """Put rows into a text table by key: a key that is there is replaced as a whole row.
 
-    The merged table is staged first, because the folder it goes to is also read.
+    The table is partitioned by a hash of its keys, and only the buckets a batch falls into are read
+    and replaced, so a small batch does not rewrite a large table.  ``buckets`` belongs to the table:
+    use the same number for all its batches.  The new buckets are staged before they replace the old
+    ones, because those are read to make them.
     """
     spark = df.sparkSession
-    fresh = keyed_text(df, keys, order_by)
+    keys = resolve_all(df.columns, keys)
+    bucket = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(buckets)).cast("int")
+    fresh = stage(keyed_text(df, keys, order_by).withColumn(BUCKET_COLUMN, bucket), "upsert-batch")
     if not path_has_files(spark, path):
-        write_partitioned(fresh, path, [])
+        write_partitioned(fresh.frame, path, [BUCKET_COLUMN])
+        fresh.release()
         return
-    old = spark.read.schema(fresh.schema).parquet(path)
-    both = old.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
-    staged = stage(latest_by_key(both, keys, ["_new"]).drop("_new"), "upsert")
-    write_partitioned(staged.frame, path, [])
-    staged.release()
+    touched = [r[0] for r in fresh.frame.select(BUCKET_COLUMN).distinct().collect()]
+    old = spark.read.schema(fresh.frame.schema).parquet(path)
+    old = old.where(F.col(BUCKET_COLUMN).isin(touched))
+    new_keys = fresh.frame.select([F.col(quoted(k)).alias(f"_new_{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_new_{i}"))
+    kept = old.join(new_keys, same, "left_anti")
+    merged = stage(kept.unionByName(fresh.frame), "upsert")
+    write_partitioned(merged.frame, path, [BUCKET_COLUMN])
+    merged.release()
+    fresh.release()
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BUCKET_COLUMN)
 
 
 def register_partitions(spark: SparkSession, identifier: str, partitioned: bool | None = None) -> None:

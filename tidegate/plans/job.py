@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import record
+from tidegate.operators.merge import merge_insert
 from tidegate.operators.quality import PASSED, outcome_frame, outcomes, stamp_outcomes
 from tidegate.operators.sinks import register_partitions, write_outcomes, write_partitioned
-from tidegate.sources.scans import expose_view, read_dependency
+from tidegate.sources.scans import expose_view, read_catalog, read_dependency
 from tidegate.sources.schema import table_columns
 from tidegate.spec import JobSpec, Rule
-from tidegate.storage import Lake, stage
+from tidegate.storage import Lake, load_spec, load_sql, stage
 
 OUTCOME_TABLES = ("sor.predq", "sor.quality")
 READ_PHASE, RESULT_PHASE = "predq", "quality"
@@ -116,6 +117,33 @@ def run_job(
             one.release()
 
 
+def run_table(
+    spark: SparkSession, lake: Lake, table: str, as_of: datetime, **options
+) -> RunReport:
+    """Run the job of a table as its artefacts describe it: its spec and, but for landing jobs, its SQL."""
+    spec = load_spec(spark, lake, table)
+    sql = None if spec.layer == "CSV" else load_sql(spark, lake, table)
+    return run_job(spark, spec, lake, as_of, sql, **options)
+
+
+def run_merge(
+    spark: SparkSession,
+    sources: Sequence[str],
+    sql: str,
+    target: str,
+    keys: Sequence[str],
+    **options,
+) -> None:
+    """Run SQL over whole catalog tables, each a view under its table name, and append the rows whose
+    key the target lacks."""
+    names = [source.split(".")[1].lower() for source in sources]
+    if len(set(names)) < len(names):
+        raise ValueError(f"two sources would share one view name: {sorted(names)}")
+    for source in sources:
+        expose_view(read_catalog(spark, source), source.split(".")[1])
+    merge_insert(spark, spark.sql(sql), target, keys, **options)
+
+
 def check(
     df: DataFrame,
     rules: Sequence[Rule],

@@ -115,8 +115,11 @@ folded AS (
   FROM rows GROUP BY rule_set
 ),
 cased AS (
-  SELECT * FROM folded
-  CROSS JOIN (VALUES ('strict', true), ('strict', false), ('flags', true), ('flags', false)) AS c(policy, flag)
+  SELECT *, unnest(
+    [{{'policy': 'strict', 'flag': true}}, {{'policy': 'strict', 'flag': false}},
+     {{'policy': 'flags', 'flag': true}}, {{'policy': 'flags', 'flag': false}}],
+    recursive := true
+  ) FROM folded
 )
 SELECT rule_set, failed_rules, passed, policy, flag,
        CASE WHEN passed OR (policy = 'flags' AND flag) THEN 'read' ELSE 'stop' END AS on_read,
@@ -125,6 +128,17 @@ SELECT rule_set, failed_rules, passed, policy, flag,
 FROM cased
 """
 
+MERGE_JOB = f"""
+WITH known AS (SELECT CAST(o_orderkey AS VARCHAR) AS contract_id FROM orders WHERE o_orderstatus = 'F'),
+incoming AS ({CONTRACT_TOTALS})
+SELECT contract_id, CAST(NULL AS VARCHAR) AS customer_id, CAST(0 AS DOUBLE) AS valor,
+       'KNOWN' AS fonte, '20240101' AS data_processamento
+FROM known
+UNION ALL
+SELECT contract_id, customer_id, valor, fonte, data_processamento FROM incoming
+WHERE contract_id NOT IN (SELECT contract_id FROM known)
+"""
+
 ORACLE: dict[str, str] = {
     "q01_csv_scan": LANDING,
     "q02_dated_file": LANDING,
@@ -245,6 +259,7 @@ ORACLE: dict[str, str] = {
         FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
     "q29_ingest_job": LANDING,
     "q30_union_job": CONTRACT_TOTALS,
+    "q32_merge_job": MERGE_JOB,
     "q31_gated_job": """
         SELECT table_name, rules, failed, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS entries
         FROM (VALUES ('tb_orders', 3, 0), ('tb_lineitem', 2, 0), ('tb_events', 2, 0),

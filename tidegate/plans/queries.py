@@ -33,6 +33,7 @@ from tidegate.operators.quality import (
     stamp_outcomes,
 )
 from tidegate.operators.sinks import (
+    read_keyed,
     register_partitions,
     upsert_keyed,
     write_csv,
@@ -40,12 +41,13 @@ from tidegate.operators.sinks import (
     write_partitioned,
 )
 from tidegate.operators.totals import Branch, tagged_totals, totals, union_rows
-from tidegate.plans.job import run_job
+from tidegate.plans.job import run_job, run_merge
 from tidegate.sources import (
     TableColumn,
     dated_name,
     expose_view,
     partition_columns,
+    read_catalog,
     read_csv,
     read_dependency,
     read_parquet,
@@ -177,8 +179,9 @@ def parquet_scan(spark, sf_dir):
 
 
 def views(spark, sf_dir):
-    expose_view(table(spark, sf_dir, "customer"), "tb_Customer")
-    expose_view(table(spark, sf_dir, "nation"), "tb_Nation")
+    for name in ("customer", "nation"):
+        identifier = register(spark, "tidegate_check", unique(name), f"{sf_dir}/{name}.parquet")
+        expose_view(read_catalog(spark, identifier), f"tb_{name.title()}")
     return spark.sql(
         """SELECT n_name, COUNT(*) AS n_customers FROM TB_CUSTOMER
            JOIN TB_NATION ON c_nationkey = n_nationkey GROUP BY n_name"""
@@ -228,7 +231,7 @@ def keyed_upsert(spark, sf_dir):
     )
     for batch in (rows.where("ts < '2024-01-16'"), rows.where("ts >= '2024-01-16'")):
         upsert_keyed(batch, path, ["user_id"], ["ts", "event_id"])
-    return spark.read.parquet(path)
+    return read_keyed(spark, path)
 
 
 def partition_registration(spark, sf_dir):
@@ -575,6 +578,28 @@ def _union_job(spark, sf_dir, name):
     return lake, spec
 
 
+def merge_job(spark, sf_dir):
+    """Totals of three whole tables merged into a table that knows the contracts of closed orders."""
+    sources = [
+        register(spark, "tidegate_sor", f"tb_{name}", f"{sf_dir}/{name}.parquet")
+        for name in ("orders", "lineitem", "events")
+    ]
+    columns = [c for c in TOTALS_COLUMNS if c.name != "last_update_date"]
+    columns = [TableColumn(c.name, c.type_text) for c in columns]
+    target = register(
+        spark, "tidegate_sot", unique("contracts"), fresh_path(spark, "merge-job"), columns
+    )
+    table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").cast("string"),
+        F.lit(None).cast("string"),
+        F.lit(0.0),
+        F.lit("KNOWN"),
+        F.lit("20240101"),
+    ).write.insertInto(target)
+    run_merge(spark, sources, example_sql("contract_totals"), target, ["contract_id"])
+    return spark.table(target)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_csv_scan": csv_scan,
     "q02_dated_file": dated_file,
@@ -608,4 +633,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q29_ingest_job": ingest_job,
     "q30_union_job": union_job,
     "q31_gated_job": gated_job,
+    "q32_merge_job": merge_job,
 }
