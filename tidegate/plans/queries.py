@@ -230,7 +230,8 @@ def keyed_upsert(spark, sf_dir):
         "props",
     )
     for batch in (rows.where("ts < '2024-01-16'"), rows.where("ts >= '2024-01-16'")):
-        upsert_keyed(batch, path, ["user_id"], ["ts", "event_id"])
+        buckets = spark.sparkContext.defaultParallelism
+        upsert_keyed(batch, path, ["user_id"], ["ts", "event_id"], buckets)
     return read_keyed(spark, path)
 
 
