@@ -58,8 +58,8 @@ ROWS = st.lists(st.tuples(KEYS, st.sampled_from("ab")), max_size=30)
 @given(ROWS, ROWS)
 def test_any_key_sets_on_every_path(spark, source, target):
     s, t = make(spark, source).repartition(3), make(spark, target)
-    salted = profile_keys(s, ["k"], hot_share=0.0, hot_rows=1)
-    for options in (*PATHS.values(), {"broadcast_bytes": 0, "profile": salted, "salts": 3}):
+    hot = profile_keys(s, ["k"], hot_share=0.0, hot_rows=3)
+    for options in (*PATHS.values(), {"broadcast_bytes": 0, "profile": hot}):
         got = new_rows(s, t, ["k"], **options)
         assert Counter(map(tuple, got.collect())) == want(source, target), options
 
@@ -78,7 +78,7 @@ def test_profile_finds_hot_keys(spark):
 
 
 @pytest.mark.parametrize("known", [[-1, 2, 5], [2, 5]])
-def test_hot_keys_are_spread_over_tasks(spark, known):
+def test_rows_of_hot_keys_are_not_shuffled(spark, known):
     source = skewed(spark)
     target = spark.createDataFrame([(k,) for k in known for _ in range(3)], "k long")
     profile = profile_keys(source, ["k"], hot_rows=1000)
@@ -89,15 +89,15 @@ def test_hot_keys_are_spread_over_tasks(spark, known):
         plain = new_rows(
             source, target, ["k"], broadcast_bytes=0, profile=KeyProfile(30000, 10**9, ())
         ).withColumn("task", F.spark_partition_id())
-        salted = new_rows(source, target, ["k"], broadcast_bytes=0, profile=profile).withColumn(
+        split = new_rows(source, target, ["k"], broadcast_bytes=0, profile=profile).withColumn(
             "task", F.spark_partition_id()
         )
-        assert plain.drop("task").exceptAll(salted.drop("task")).count() == 0
-        assert plain.count() == salted.count() == 30000 - len(set(known)) - (9999 if -1 in known else 0)
-        plan = plan_of(salted)
-        assert "SortMergeJoin" in plan and "_salt" in plan
-        # With four tasks, the keyless third is one task's load in the plain plan, and shared here.
-        assert fullest(plain) >= 10000 > fullest(salted)
+        assert plain.drop("task").exceptAll(split.drop("task")).count() == 0
+        assert plain.count() == split.count() == 30000 - len(set(known)) - (9999 if -1 in known else 0)
+        plan = plan_of(split)
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+        # The keyless third is one task's load in the plain plan, and stays with its readers here.
+        assert fullest(plain) >= 10000 > 3000 > fullest(split)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

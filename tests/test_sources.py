@@ -5,7 +5,8 @@ import pytest
 
 from tests.plans import plan_of
 from tests.test_spec import dependency, raw
-from tidegate.operators.sinks import write_csv, write_partitioned
+from tidegate.operators.merge import merge_insert
+from tidegate.operators.sinks import register_partitions, write_csv, write_partitioned
 from tidegate.plans.queries import register, unique
 from tidegate.sources import (
     TableColumn,
@@ -125,6 +126,23 @@ def test_each_dependency_gets_its_own_predicate(spark):
     assert frames["tb_a_b"].first()["day"] == 3
 
 
+def test_odd_table_names(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tidegate_test")
+    spark.sql("DROP TABLE IF EXISTS tidegate_test.`2024_orders`")
+    path = fresh_path(spark, "odd")
+    spark.sql(
+        f"CREATE TABLE tidegate_test.`2024_orders` (id bigint, p int) USING parquet PARTITIONED BY (p) LOCATION '{path}'"
+    )
+    write_partitioned(spark.range(3).selectExpr("id", "1 AS p"), path, ["p"])
+    register_partitions(spark, "tidegate_test.2024_orders")
+    assert partition_columns(spark, "tidegate_test.2024_orders") == ["p"]
+    assert read_catalog(spark, "tidegate_test.2024_orders", "p = 1").count() == 3
+    merge_insert(spark, spark.range(5).selectExpr("id", "2 AS p"), "tidegate_test.2024_orders", ["id"])
+    assert read_catalog(spark, "tidegate_test.2024_orders").count() == 5
+    expose_view(spark.range(1), "2024-view")
+    assert spark.sql("SELECT * FROM `2024-view`").count() == 1
+
+
 def test_lake_paths():
     lake = Lake.under("/lake/")
     assert lake.target("CSV", "t") == lake.target("SOR", "t") == "/lake/sor/t"

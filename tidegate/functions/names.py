@@ -29,3 +29,10 @@ def resolve_all(columns: Iterable[str], names: Iterable[str]) -> list[str]:
 def quoted(name: str) -> str:
     """A column name as an identifier, whatever characters it holds."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def quoted_table(identifier: str) -> str:
+    """``database.table`` as an identifier; names that are quoted already are left alone."""
+    if "`" in identifier:
+        return identifier
+    return ".".join(quoted(part) for part in identifier.split("."))

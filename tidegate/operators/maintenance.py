@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.keys import partition_json, partition_key
-from tidegate.functions.names import quoted
+from tidegate.functions.names import quoted, quoted_table
 from tidegate.operators.ledger import LEDGER_KEY
 from tidegate.operators.sinks import CODEC
 from tidegate.storage import stage
@@ -180,7 +180,7 @@ def drop_partitions(
     rows = values.toLocalIterator()
     while some := list(itertools.islice(rows, batch)):
         specs = ", ".join(f"PARTITION ({', '.join(_equals(c, row[c]) for c in columns)})" for row in some)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+        spark.sql(f"ALTER TABLE {quoted_table(table)} DROP IF EXISTS {specs}")
         dropped += len(some)
     return dropped
 

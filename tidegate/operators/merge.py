@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.names import quoted, resolve_all
+from tidegate.functions.names import quoted, quoted_table, resolve_all
 from tidegate.storage import stage
 
-SALT = "_salt"
-# A sketch of this size finds every key above the shares used here.
-SKETCH_ITEMS = 64
-SKETCH_TRACKED = 8192
+# A sketch that tracks this many keys finds each one that holds a two-thousandth of the rows, and there
+# cannot be more than that many of those.
+SKETCH_ITEMS = 2000
+SKETCH_TRACKED = 16384
+HOT_SHARE = 1 / SKETCH_ITEMS
+HOT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -28,9 +30,9 @@ class KeyProfile:
 
 
 def profile_keys(
-    source: DataFrame, keys: Sequence[str], hot_share: float = 0.01, hot_rows: int = 1_000_000
+    source: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
 ) -> KeyProfile:
-    """Row count, size of the keys, and hashes of keys that hold ``hot_share`` and ``hot_rows`` rows.
+    """Row count, size of the keys, and hashes of keys with ``hot_share`` of the rows and ``hot_rows``.
 
     One aggregation over the key columns; at most ``SKETCH_ITEMS`` hashes reach the driver.  The
     sketch only picks how the join is run, so an estimate is enough.
@@ -58,7 +60,6 @@ def new_rows(
     target: DataFrame,
     keys: Sequence[str],
     profile: KeyProfile | None = None,
-    salts: int = 64,
     broadcast_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """Source rows whose key is not in the target, duplicates and NULL keys included.
@@ -72,7 +73,7 @@ def new_rows(
     if profile.key_bytes <= broadcast_bytes:
         joined = _by_broadcast(source, known, keys)
     else:
-        joined = _by_shuffle(source, known, keys, profile, salts)
+        joined = _by_shuffle(source, known, keys, profile.hot_hashes)
     return joined.select([F.col(quoted(c)) for c in source.columns])
 
 
@@ -88,19 +89,19 @@ def _by_broadcast(source: DataFrame, known: DataFrame, keys: list[str]) -> DataF
 
 
 def _by_shuffle(
-    source: DataFrame, known: DataFrame, keys: list[str], profile: KeyProfile, salts: int
+    source: DataFrame, known: DataFrame, keys: list[str], hot_hashes: Sequence[int]
 ) -> DataFrame:
-    """Both sides shuffled by key.  A hot source key is spread over ``salts`` tasks, and the target's
-    copy of that key is repeated once per salt."""
-    if not profile.hot_hashes:
+    """For a source with many keys: both sides are shuffled by key, but for the hot keys.
+
+    Those are few, so the ones the target has can be broadcast, and the rows of a hot key, however
+    many, are decided where they are read.
+    """
+    if not hot_hashes:
         return source.join(known.distinct(), keys, "left_anti")
-    hot = key_hash(keys).isin(list(profile.hot_hashes))
-    # The id of the task a row is in comes back the same when the task is run again.
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    salted = source.withColumn(SALT, F.when(hot, spread).otherwise(F.lit(0)))
-    every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    known = known.withColumn(SALT, F.explode(every)).distinct()
-    return salted.join(known, [*keys, SALT], "left_anti")
+    hot = key_hash(keys).isin(list(hot_hashes))
+    cold_rows = source.where(~hot).join(known.where(~hot).distinct(), keys, "left_anti")
+    hot_rows = source.where(hot).join(F.broadcast(known.where(hot).distinct()), keys, "left_anti")
+    return cold_rows.unionAll(hot_rows)
 
 
 def merge_insert(
@@ -117,6 +118,7 @@ def merge_insert(
     plain scan.  Rows are only added, so a run that is repeated after it succeeded adds nothing.
     """
     held = stage(source, "merge") if staged else None
+    table = quoted_table(table)
     target = spark.table(table)
     fresh = new_rows(held.frame if held else source, target, keys, **options)
     aligned(fresh, target).write.insertInto(table, overwrite=False)

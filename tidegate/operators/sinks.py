@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.dates import stamp_literal
 from tidegate.functions.keys import as_text
-from tidegate.functions.names import quoted, resolve, resolve_all
+from tidegate.functions.names import quoted, quoted_table, resolve, resolve_all
 from tidegate.sources.schema import partition_columns
 from tidegate.storage import path_has_files, stage
 
@@ -157,6 +157,6 @@ def register_partitions(spark: SparkSession, identifier: str, partitioned: bool
     if partitioned is None:
         partitioned = bool(partition_columns(spark, identifier))
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {identifier}")
+        spark.sql(f"MSCK REPAIR TABLE {quoted_table(identifier)}")
     else:
-        spark.catalog.refreshTable(identifier)
+        spark.catalog.refreshTable(quoted_table(identifier))

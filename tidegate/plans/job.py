@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from tidegate.functions.names import quoted_table
 from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import record
@@ -61,7 +62,7 @@ def run_job(
 
     With ``staged`` the result is computed once, into a staged table; rules, write and ledger read
     that.  Turn it off where the result is a cheap projection of its inputs and a second scan of those
-    costs less than a second write.
+    costs less than a second write, but never for a job that reads its own target.
     """
     if policy not in gates.POLICIES:
         raise ValueError(f"policy must be one of {gates.POLICIES}, not {policy!r}")
@@ -109,7 +110,7 @@ def run_job(
             record(result, lake.ledger, spec.table, by, as_of)
             register_partitions(spark, spec.identifier, partitioned=bool(by))
         for name in outcome_tables:
-            if spark.catalog.tableExists(name):
+            if spark.catalog.tableExists(quoted_table(name)):
                 register_partitions(spark, name)
         return report
     finally:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidegate.functions.names import quoted, quoted_table
 from tidegate.sources.schema import scan_schema, table_columns
 from tidegate.spec import FILE_DATE_TOKEN, Dependency, JobSpec, SpecError, render_predicates
 from tidegate.storage import Lake
@@ -29,7 +30,7 @@ def read_catalog(spark: SparkSession, identifier: str, predicate: str | None = N
     parts = identifier.split(".")
     if len(parts) < 2:
         raise SpecError(f"{identifier!r} is not of the form database.table")
-    frame = spark.table(f"`{parts[0]}`.`{parts[1]}`")
+    frame = spark.table(quoted_table(".".join(parts[:2])))
     return frame.where(predicate) if predicate else frame
 
 
@@ -40,7 +41,7 @@ def dated_name(name: str, as_of: datetime) -> str:
 
 def expose_view(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` a named relation for SQL.  SQL finds it without regard to case."""
-    df.createOrReplaceTempView(f"`{name}`")
+    df.createOrReplaceTempView(quoted(name))
     return df
 
 

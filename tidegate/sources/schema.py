@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from tidegate.functions.names import quoted_table
+
 # The closed map from catalog type names to Spark types.
 SIMPLE_TYPES = {
     "string": T.StringType(),
@@ -51,7 +53,8 @@ def map_type(type_text: str, keep_nested: bool = False) -> T.DataType:
 def table_columns(spark: SparkSession, identifier: str) -> list[TableColumn]:
     """Columns of a catalog table, partition columns last."""
     return [
-        TableColumn(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(identifier)
+        TableColumn(c.name, c.dataType, c.isPartition)
+        for c in spark.catalog.listColumns(quoted_table(identifier))
     ]
 
 
