@@ -83,6 +83,25 @@ def test_picked_partitions_are_taken_in_batches(spark, scattered):
     assert spark.read.parquet(scattered).count() == 4100
 
 
+def test_columns_of_some_files_only_are_kept(spark):
+    path = fresh_path(spark, "evolved")
+    spark.range(0, 4, 1, 2).selectExpr("id", "'p' AS p").write.partitionBy("p").parquet(path)
+    newer = spark.range(4, 8, 1, 2).selectExpr("id", "id * 10 AS extra", "'p' AS p")
+    newer.write.mode("append").partitionBy("p").parquet(path)
+    assert compact(spark, path, ["p"]) == 1
+    spark.catalog.refreshByPath(path)
+    got = sorted((r["id"], r["extra"]) for r in spark.read.parquet(path).collect())
+    assert got == [(i, None) for i in range(4)] + [(i, i * 10) for i in range(4, 8)]
+
+
+def test_a_given_schema_is_used(spark):
+    path = fresh_path(spark, "given")
+    df = spark.range(0, 4, 1, 2).selectExpr("id", "'01' AS p")
+    df.write.partitionBy("p").parquet(path)
+    assert compact(spark, path, ["p"], schema=df.schema) == 1
+    assert spark.read.schema(df.schema).parquet(path).where("p = '01'").count() == 4
+
+
 def test_only_picked_partitions_are_read(spark, scattered, monkeypatch):
     plans = []
 

@@ -153,6 +153,15 @@ def test_upsert_replaces_whole_rows(spark):
         assert rows(read_keyed(spark, path), "k", "at", "v") == want
 
 
+def test_upsert_keeps_attributes_the_batch_lacks(spark):
+    path = fresh_path(spark, "keyed")
+    upsert_keyed(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, ["k"], ["v"], 1)
+    upsert_keyed(spark.createDataFrame([(2, "c"), (3, "d")], "k int, w string"), path, ["k"], ["w"], 1)
+    assert rows(read_keyed(spark, path), "k", "v", "w") == [
+        ("1", "a", None), ("2", None, "c"), ("3", None, "d"),
+    ]
+
+
 def test_upsert_rewrites_only_the_buckets_of_the_batch(spark):
     path = fresh_path(spark, "keyed")
     table = spark.range(1000).select("id", F.lit("old").alias("v"))

@@ -80,9 +80,13 @@ def compact(
     partition_cols: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
     batch: int = 2000,
+    schema: T.StructType | None = None,
 ) -> int:
     """Rewrite the partitions the plan picks and return how many files they have now, at most.
 
+    ``schema`` is the table's, partition columns left out or not.  Without it the schemas of all files
+    are merged, so that no column of an older or newer file gets lost.
+
     Picked partitions are taken ``batch`` at a time, so the list that prunes the scan to them stays
     small, however many there are.
     """
@@ -92,6 +96,8 @@ def compact(
         F.col("planned_files").alias("_planned"),
         partition_json(picked, partition_cols).alias("_key"),
     )
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(root).schema
     files = 0
     # Staged, because every rewrite changes the listing the plan is made from.
     held = stage(picked, "compaction-plan")
@@ -99,19 +105,21 @@ def compact(
     while some := list(itertools.islice(listed, batch)):
         keys = [r["_key"] for r in some]
         plan = held.frame.where(F.col("_key").isin(keys)).drop("_key")
-        files += _rewrite(spark, root, partition_cols, keys, plan, sum(r["_planned"] for r in some))
+        rows = _text_partitions(spark, root, partition_cols, schema)
+        files += _rewrite(rows, root, partition_cols, keys, plan, sum(r["_planned"] for r in some))
     held.release()
     return files
 
 
-def _rewrite(spark, root, partition_cols, keys: list[str], plan: DataFrame, files: int) -> int:
+def _rewrite(
+    rows: DataFrame, root: str, partition_cols, keys: list[str], plan: DataFrame, files: int
+) -> int:
     """One batch: copied to a staged table, because a folder must not be replaced while it is read,
     then written back, partition by partition, while the copy is still there.
 
     The way back shuffles by partition and a salt below the number of planned files, so a partition
     that holds most of the data is split over many tasks, and none gets more files than planned.
     """
-    rows = _text_partitions(spark, root, partition_cols)
     rows = rows.where(partition_json(rows, partition_cols).isin(keys))
     plan = plan.toDF(*[f"_p{i}" for i in range(len(partition_cols))], "_planned")
     same = F.lit(True)
@@ -196,8 +204,10 @@ def _columns(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
 
 
-def _text_partitions(spark: SparkSession, root: str, partition_cols: Sequence[str]) -> DataFrame:
+def _text_partitions(
+    spark: SparkSession, root: str, partition_cols: Sequence[str], schema: T.StructType
+) -> DataFrame:
     """The table with its partition values as the folder names have them, leading zeros included."""
-    fields = [f for f in spark.read.parquet(root).schema.fields if f.name not in partition_cols]
+    fields = [f for f in schema.fields if f.name not in partition_cols]
     fields += [T.StructField(c, T.StringType()) for c in partition_cols]
     return spark.read.schema(T.StructType(fields)).parquet(root)

@@ -117,13 +117,15 @@ def merge_insert(
     The source is looked at more than once, so it is staged first; turn that off for one that is a
     plain scan.  Rows are only added, so a run that is repeated after it succeeded adds nothing.
     """
-    held = stage(source, "merge") if staged else None
     table = quoted_table(table)
     target = spark.table(table)
-    fresh = new_rows(held.frame if held else source, target, keys, **options)
-    aligned(fresh, target).write.insertInto(table, overwrite=False)
-    if held:
-        held.release()
+    held = stage(source, "merge") if staged else None
+    try:
+        fresh = new_rows(held.frame if held else source, target, keys, **options)
+        aligned(fresh, target).write.insertInto(table, overwrite=False)
+    finally:
+        if held:
+            held.release()
 
 
 def merged(source: DataFrame, target: DataFrame, keys: Sequence[str], **options) -> DataFrame:

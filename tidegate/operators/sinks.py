@@ -134,21 +134,25 @@ def upsert_keyed(
         fresh.release()
         return
     touched = [r[0] for r in fresh.frame.select(BUCKET_COLUMN).distinct().collect()]
-    old = spark.read.schema(fresh.frame.schema).parquet(path)
-    old = old.where(F.col(BUCKET_COLUMN).isin(touched))
+    old = _keyed_rows(spark, path).where(F.col(BUCKET_COLUMN).isin(touched))
     new_keys = fresh.frame.select([F.col(quoted(k)).alias(f"_new_{i}") for i, k in enumerate(keys)])
     same = F.lit(True)
     for i, key in enumerate(keys):
         same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_new_{i}"))
     kept = old.join(new_keys, same, "left_anti")
-    merged = stage(kept.unionByName(fresh.frame), "upsert")
+    merged = stage(kept.unionByName(fresh.frame, allowMissingColumns=True), "upsert")
     write_partitioned(merged.frame, path, [BUCKET_COLUMN])
     merged.release()
     fresh.release()
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET_COLUMN)
+    return _keyed_rows(spark, path).drop(BUCKET_COLUMN)
+
+
+def _keyed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All attributes any row has: batches may differ in those, and every one is text."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def register_partitions(spark: SparkSession, identifier: str, partitioned: bool | None = None) -> None:
