@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,7 @@ from tidegate.sources import (
     read_parquet,
     scan_schema,
 )
-from tidegate.spec import Predicate, parse_rules, parse_spec, render_predicates
+from tidegate.spec import JobSpec, Predicate, parse_rules, parse_spec, render_predicates
 from tidegate.storage import Lake, fresh_path, stage
 
 AS_OF = datetime(2024, 2, 1)
@@ -537,7 +538,7 @@ def orphans(spark, sf_dir):
 
 def ingest_job(spark, sf_dir):
     lake = Lake.under(fresh_path(spark, "ingest-job"))
-    spec = example_spec("landing_orders")
+    spec = _own_target(example_spec("landing_orders"))
     write_csv(landing_rows(spark, sf_dir), lake.landing_file(spec.table, "ORDERS_20240201.csv"))
     columns = [c for c in CSV_COLUMNS if c.name != "priority"] + [
         TableColumn("priority", "string", True)
@@ -548,7 +549,7 @@ def ingest_job(spark, sf_dir):
 
 
 def union_job(spark, sf_dir):
-    lake, spec = _union_job(spark, sf_dir, "contract_totals")
+    _, spec = _union_job(spark, sf_dir, "contract_totals")
     return spark.table(spec.identifier).drop("last_update_date")
 
 
@@ -569,9 +570,14 @@ def gated_job(spark, sf_dir):
     )
 
 
+def _own_target(spec: JobSpec) -> JobSpec:
+    """The spec with a target database of its own, so that runs in one session do not meet."""
+    return replace(spec, database=unique(spec.database))
+
+
 def _union_job(spark, sf_dir, name):
     lake = Lake.under(fresh_path(spark, name))
-    spec = example_spec(name)
+    spec = _own_target(example_spec(name))
     for source in ("orders", "lineitem", "events"):
         register(spark, "tidegate_sor", f"tb_{source}", f"{sf_dir}/{source}.parquet")
     register(spark, spec.database, spec.table, lake.target(spec.layer, spec.table), TOTALS_COLUMNS)
