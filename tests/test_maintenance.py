@@ -141,6 +141,14 @@ def test_expiry_limits_each_table_before_the_shuffle(spark):
     assert "row_number(), 10, Partial" in plan_of(expired_partitions(df, F.lit(5), "day"))
 
 
+def test_orphans_of_a_table_with_a_table_name_column(spark):
+    ledger = fresh_path(spark, "ledger")
+    df = spark.createDataFrame([("a", "1"), ("b", "1")], "table_name string, day string")
+    record(df.where("table_name = 'a'"), ledger, "outcomes", df.columns, datetime(2024, 1, 1))
+    found = orphan_partitions(df, "outcomes", df.columns, read_ledger(spark, ledger))
+    assert [tuple(r) for r in found.collect()] == [("b", "1", "table_name=b#day=1")]
+
+
 def test_orphans_and_drop(spark):
     path, ledger = fresh_path(spark, "orphans"), fresh_path(spark, "ledger")
     df = spark.createDataFrame([(1, "01", "it's"), (2, "02", "b"), (3, None, "c")], "id int, m string, n string")

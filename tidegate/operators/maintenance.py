@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from tidegate.functions.keys import partition_json, partition_key
 from tidegate.functions.names import quoted, quoted_table
-from tidegate.operators.ledger import LEDGER_KEY
 from tidegate.operators.sinks import CODEC
 from tidegate.storage import stage
 
@@ -101,13 +100,15 @@ def compact(
     files = 0
     # Staged, because every rewrite changes the listing the plan is made from.
     held = stage(picked, "compaction-plan")
-    listed = held.frame.toLocalIterator()
-    while some := list(itertools.islice(listed, batch)):
-        keys = [r["_key"] for r in some]
-        plan = held.frame.where(F.col("_key").isin(keys)).drop("_key")
-        rows = _text_partitions(spark, root, partition_cols, schema)
-        files += _rewrite(rows, root, partition_cols, keys, plan, sum(r["_planned"] for r in some))
-    held.release()
+    try:
+        listed = held.frame.toLocalIterator()
+        while some := list(itertools.islice(listed, batch)):
+            keys = [r["_key"] for r in some]
+            plan = held.frame.where(F.col("_key").isin(keys)).drop("_key")
+            rows = _text_partitions(spark, root, partition_cols, schema)
+            files += _rewrite(rows, root, partition_cols, keys, plan, sum(r["_planned"] for r in some))
+    finally:
+        held.release()
     return files
 
 
@@ -168,28 +169,35 @@ def expired_partitions(
     )
 
 
-def orphan_partitions(partitions: DataFrame, table_name: str, columns: Sequence[str], ledger: DataFrame):
+def orphan_partitions(
+    partitions: DataFrame, table_name: str, columns: Sequence[str], ledger: DataFrame
+) -> DataFrame:
     """Partitions of a table that the ledger does not know.  A report; nothing is removed."""
     listed = partitions.select(*_columns(columns)).distinct()
-    keyed = listed.withColumns(
-        {"table_name": F.lit(table_name), "prtc_key": partition_key(listed, columns)}
-    )
-    return keyed.join(
-        ledger.where(F.col("table_name") == table_name).select(*LEDGER_KEY), LEDGER_KEY, "left_anti"
-    )
+    keyed = listed.withColumn("prtc_key", partition_key(listed, columns))
+    known = ledger.where(F.col("table_name") == table_name).select("prtc_key")
+    return keyed.join(known, "prtc_key", "left_anti").select(*_columns(columns), "prtc_key")
 
 
 def drop_partitions(
     spark: SparkSession, table: str, partitions: DataFrame, columns: Sequence[str], batch: int = 500
 ) -> int:
-    """Take partitions out of the catalog, on request only.  Values come to the driver in batches."""
+    """Take partitions out of the catalog, on request only.
+
+    The list is staged, because it may come from what is dropped, and reaches the driver in batches.
+    """
     values = partitions.select(*[F.col(quoted(c)).cast("string").alias(c) for c in columns])
+    held = stage(values, "drop-list")
     dropped = 0
-    rows = values.toLocalIterator()
-    while some := list(itertools.islice(rows, batch)):
-        specs = ", ".join(f"PARTITION ({', '.join(_equals(c, row[c]) for c in columns)})" for row in some)
-        spark.sql(f"ALTER TABLE {quoted_table(table)} DROP IF EXISTS {specs}")
-        dropped += len(some)
+    try:
+        rows = held.frame.toLocalIterator()
+        while some := list(itertools.islice(rows, batch)):
+            specs = [", ".join(_equals(c, row[c]) for c in columns) for row in some]
+            listed = ", ".join(f"PARTITION ({spec})" for spec in specs)
+            spark.sql(f"ALTER TABLE {quoted_table(table)} DROP IF EXISTS {listed}")
+            dropped += len(some)
+    finally:
+        held.release()
     return dropped
 
 

@@ -533,7 +533,8 @@ def orphans(spark, sf_dir):
     told = spark.read.parquet(path).where("anomesdia <= 20240115")
     record(told, ledger, "events", ["anomesdia"], AS_OF)
     found = stored_partitions(spark, path, ["anomesdia"])
-    return orphan_partitions(found, "events", ["anomesdia"], read_ledger(spark, ledger))
+    rows = orphan_partitions(found, "events", ["anomesdia"], read_ledger(spark, ledger))
+    return rows.withColumn("table_name", F.lit("events"))
 
 
 def ingest_job(spark, sf_dir):
