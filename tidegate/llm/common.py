@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Sequence
 
 import numpy as np
@@ -33,6 +35,17 @@ def tasks(spark: SparkSession, times: int = 1) -> int:
     return times * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are stored and read again.
+
+    Spark drops them when the driver has collected the plans they belong to, which may be long after.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def order_bucket(df: DataFrame, key: str, n: int) -> Column:
     """A number from 0 for each row, ascending with ``key`` and near equal in rows: NULL is in the first.
 

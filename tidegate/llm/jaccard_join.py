@@ -32,16 +32,15 @@ nothing.  An empty table gives no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import mixed, prefix_sums, span_hashes, text_of
+from tidegate.llm.common import free_shuffles, mixed, prefix_sums, span_hashes, text_of
 from tidegate.llm.components import components
 from tidegate.storage import stage
 
@@ -122,9 +121,9 @@ def join_classes(docs: DataFrame) -> DataFrame:
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
     classes = stage(classes, "jaccard-classes").frame
     seeds = stage(_sharing(rows, classes), "jaccard-seeds")
-    _free(spark)
+    free_shuffles(spark)
     sets = stage(_sets(docs, seeds.frame), "jaccard-sets")
-    _free(spark)
+    free_shuffles(spark)
     links = stage(_links(sets.frame), "jaccard-links").frame
     copies = (
         rows.join(classes, ["f1", "f2"])
@@ -279,9 +278,3 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = F.size(F.array_intersect("ha", "hb"))
     union = F.size("ha") + F.size("hb") - both
     return pairs.join(one, "a").join(two, "b").where(100 * both >= PERCENT * union).select("a", "b")
-
-
-def _free(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -28,16 +28,15 @@ none.  Repeated rows are copies of each other.  An empty table gives no rows.  O
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import prefix_sums, span_hashes, text_of
+from tidegate.llm.common import free_shuffles, prefix_sums, span_hashes, text_of
 from tidegate.storage import stage
 
 DEPTH = 400
@@ -84,26 +83,35 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> Dat
         .where("n > 1")
         .select("gram", (F.col("lo") < F.col("hi")).alias("differ"))
     )
-    alive = stage(found.frame.join(shared, "gram"), "repeats-alive").frame
+    held = stage(found.frame.join(shared, "gram"), "repeats-alive")
+    alive = held.frame
     found.release()
+    free_shuffles(spark)
     reaches = alive.groupBy("gram", "r1", "r2", "differ").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "first", "count")).alias("one")
     )
-    reaches = stage(reaches, "repeats-reaches").frame
+    blocks = stage(reaches, "repeats-reaches")
+    reaches = blocks.frame
     copied = alive.join(reaches.where("n > 1").select("gram", "r1", "r2"), ["gram", "r1", "r2"], "left_semi")
-    whole = copied.select(
+    copied = copied.select(
         "doc", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + depth).alias("end")
     )
+    whole = stage(copied, "repeats-whole")
+    held.release()
     readers = reaches.where("differ").select("gram", (F.col("n") == 1).alias("single"), "one.*")
-    _free(spark)
-    windows = stage(_windows(rows, readers, depth), "repeats-windows").frame
-    _free(spark)
+    free_shuffles(spark)
+    cut = stage(_windows(rows, readers, depth), "repeats-windows")
+    windows = cut.frame
+    blocks.release()
+    free_shuffles(spark)
     again = windows.groupBy("gram", "w").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ends = windows.where("single").join(again, ["gram", "w"], "left_semi")
     ends = ends.select("doc", F.col("at").alias("start"), (F.col("at") + depth).alias("end"))
-    runs = whole.unionAll(ends).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    runs = whole.frame.unionAll(ends).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     runs = stage(runs, "repeats-runs").frame
-    _free(spark)
+    cut.release()
+    whole.release()
+    free_shuffles(spark)
     return _cut(rows, runs)
 
 
@@ -218,9 +226,3 @@ def _cut(rows: DataFrame, runs: DataFrame) -> DataFrame:
         .select("doc_id", "text", "spans")
         .mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )
-
-
-def _free(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
