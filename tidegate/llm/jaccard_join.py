@@ -12,8 +12,8 @@ these is not bare.  Sets with more bare parts keep these signatures too, and a p
 of two such sets.
 
 1. Sets are folded if equal: every later step works on one document for each set.
-2. A set must share one of its ``n - ceil(0.8 n) + 1`` smallest shingle hashes with a similar one.  Sets
-   that share none of them with any other document are done.
+2. Of its ``n - ceil(0.8 n) + ceil(n / 10)`` smallest shingle hashes a set shares at least ``0.08 n`` with a
+   similar one, which has them among its smallest too.  Sets that share fewer with any others are done.
 3. The others get signatures.  In a bucket of one signature, every member meets the smallest one; pairs
    whose shingle counts by hash (64 counters) differ by more than ``k`` are dropped; each set is compared
    with the first of those left.
@@ -118,7 +118,12 @@ def join_classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sized = stage(_sized(docs), "jaccard-sized")
     rows = sized.frame
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
+    classes = (
+        rows.where("n > 0 AND doc_id IS NOT NULL")
+        .groupBy("f1", "f2")
+        .agg(F.min(F.struct("doc_id", "key", "n")).alias("m"))
+        .select("f1", "f2", F.col("m.doc_id").alias("rep"), F.col("m.key").alias("key"), F.col("m.n").alias("n"))
+    )
     classes = stage(classes, "jaccard-classes").frame
     seeds = stage(_sharing(rows, classes), "jaccard-seeds")
     free_shuffles(spark)
@@ -161,24 +166,24 @@ def _sized(docs: DataFrame) -> DataFrame:
                 ns.append(n)
                 ones.append(int(digest[0]))
                 twos.append(int(digest[1]))
-                least.append(found[: n - -(-n * PERCENT // 100) + 1].view(np.int64) if n else found.view(np.int64))
+                least.append(found[: n - -(-n * PERCENT // 100) + -(-n // 10)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
+                    batch["key"],
                     pa.array(ns, pa.int64()),
                     pa.array(ones, pa.int64()),
                     pa.array(twos, pa.int64()),
                     pa.array(least, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "f1", "f2", "least"],
+                names=["doc_id", "key", "n", "f1", "f2", "least"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(sized, "doc_id long, n long, f1 long, f2 long, least array<bigint>")
+    return _keyed(docs).mapInArrow(sized, "doc_id long, key long, n long, f1 long, f2 long, least array<bigint>")
 
 
 def _sharing(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Representatives that share one of their smallest hashes with another document."""
+    """Representatives that share enough of their smallest hashes with other documents."""
     spread = rows.where("doc_id IS NOT NULL").select("doc_id", F.explode("least").alias("h"))
     shared = (
         spread.groupBy("h")
@@ -186,8 +191,17 @@ def _sharing(rows: DataFrame, classes: DataFrame) -> DataFrame:
         .where("lo < hi")
         .select("h")
     )
-    ids = spread.join(shared, "h", "left_semi").select("doc_id").distinct()
-    return classes.join(ids, F.col("rep") == F.col("doc_id"), "left_semi").select("rep", "f1", "f2")
+    found = spread.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shares"))
+    enough = F.col("shares") * 100 >= F.col("n") * (PERCENT // 10)
+    return classes.join(found, F.col("rep") == F.col("doc_id")).where(enough).select("rep", "key")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Texts with a key, so that a document can be found again where a ``doc_id`` has several texts."""
+    text = text_of()
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("key"), text.alias("text")
+    )
 
 
 def _sets(docs: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -197,34 +211,26 @@ def _sets(docs: DataFrame, seeds: DataFrame) -> DataFrame:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"].to_pylist()]
             counters = [
-                np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=COUNTERS), 32767).astype(np.int16)
+                np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=COUNTERS), 32767)
                 for s in sets
             ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["rep"],
-                    batch["f1"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([signatures(s) for s in sets], pa.list_(pa.int64())),
-                    pa.array(counters, pa.list_(pa.int16())),
-                    pa.array(
-                        [int(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)[0]) for s in sets],
-                        pa.int64(),
-                    ),
+                    pa.array([c.astype(np.int16) for c in counters], pa.list_(pa.int16())),
                 ],
-                names=["rep", "f1", "n", "hashes", "signatures", "counters", "g1"],
+                names=["rep", "n", "hashes", "signatures", "counters"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = texts.join(seeds, F.col("doc_id") == F.col("rep")).select("rep", "f1", "text")
-    found = rows.mapInArrow(
+    # Equal rows share a key; one of them is read.  The join has dealt the rows by key already.
+    texts = _keyed(docs).select("key", "text").join(seeds, "key").dropDuplicates(["key"]).select("rep", "text")
+    return texts.mapInArrow(
         made,
-        "rep long, f1 long, n long, hashes array<bigint>, signatures array<bigint>, "
-        "counters array<smallint>, g1 long",
+        "rep long, n long, hashes array<bigint>, signatures array<bigint>, counters array<smallint>",
     )
-    # A doc_id can have several texts; the one that stands for its class is meant.
-    return found.where("f1 = g1").drop("g1").dropDuplicates(["rep", "f1"])
 
 
 def _close(a: str, b: str) -> Column:
