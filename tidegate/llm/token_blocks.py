@@ -18,8 +18,11 @@ length is one run of ids; a segment is closed behind the document that fills it.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,9 @@ SEGMENT_SCHEMA = (
     "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, "
     "n_ids bigint, block_starts binary, payload binary"
 )
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
+#: A space that may belong to the white space behind it, or an empty text.
+UNEVEN = re.compile(r" (?:\s|$)|^(?: |$)")
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -53,9 +58,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     rows = rows.reshape(count, BLOCK)
     low = rows.min(axis=1)
     rows -= low[:, None]
-    widths_each = np.ceil(np.log2(rows + 1)).astype(np.int64)
-    chosen = np.sort(widths_each, axis=1)[:, [BLOCK * PERCENTILE // 100 - 1, BLOCK - 1]]
-    too_wide = (widths_each > chosen[:, :1]).sum(axis=1)
+    ranks = [BLOCK * PERCENTILE // 100 - 1, BLOCK - 1]
+    edges = np.partition(rows, ranks, axis=1)[:, ranks]
+    chosen = np.ceil(np.log2(edges + 1)).astype(np.int64)
+    too_wide = (rows >> chosen[:, :1] > 0).sum(axis=1)
     costs = np.stack([BLOCK // 8 * chosen[:, 0] + 5 * too_wide, BLOCK // 8 * chosen[:, 1]], axis=1)
     widths = np.where(costs[:, 0] <= costs[:, 1], chosen[:, 0], chosen[:, 1])
     packed: list[bytes] = [b""] * count
@@ -64,8 +70,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
         part = rows[at]
         mask = (1 << int(width)) - 1
         if width:
-            bits = ((part & mask)[:, :, None] >> np.arange(int(width))) & 1
-            body = np.packbits(bits.reshape(len(at), -1).astype(np.uint8), axis=1, bitorder="little")
+            size = 2 if width <= 16 else 4
+            raw = (part & mask).astype(f"<u{size}").view(np.uint8).reshape(len(at), BLOCK, size)
+            bits = np.unpackbits(raw, axis=2, bitorder="little")[:, :, : int(width)]
+            body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
         else:
             body = np.zeros((len(at), 0), np.uint8)
         for i, b in enumerate(at):
@@ -107,49 +115,57 @@ def unpack(starts: np.ndarray, payload: bytes, n: int, first: int = 0, last: int
 class Encoder:
     """A public tokenizer with a bounded memory of pieces.
 
-    A space before a character that is no white space always starts a new piece in byte-level BPE with the
-    usual pattern, so the ids of a text are those of its pieces put together, and frequent pieces are
-    encoded once.  Texts with other white space around spaces are encoded whole.
+    In byte-level BPE with the usual pattern, a space before a character that is no white space always
+    starts a new piece, so the ids of a text are those of its pieces put together, and frequent pieces are
+    encoded once.  The pieces that are new in a batch are encoded in one go: each starts with the only
+    space it has, so the ids that begin with a space part them again.  Texts with other white space around
+    spaces are encoded whole.
     """
 
-    def __init__(self, path: str, by_piece: bool = True):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_piece = by_piece
-        self.known: dict[str, tuple[int, ...]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, list[int]] = {}
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_pieces(t) if self.by_piece else None for t in texts]
-        new = list({p for pieces in split if pieces for p in pieces}.difference(self.known))
-        if len(self.known) + len(new) > CACHE_PIECES:
+        """The ids of each text.  A piece is kept by what follows its space."""
+        split = [None if UNEVEN.search(t) or any(x in t for x in self.special) else t.split(" ") for t in texts]
+        if len(self.known) > CACHE_PIECES:
             self.known.clear()
-            new = list({p for pieces in split if pieces for p in pieces})
-        self.known.update(zip(new, self.whole(new)))
         known = self.known
+        new: set[str] = set()
+        for words in split:
+            if words:
+                new.update(words[1:])
+        self._learn(list(new.difference(known)))
+        firsts = iter(self.whole([words[0] for words in split if words]))
+        rest = iter(self.whole([t for t, words in zip(texts, split) if not words]))
         out = []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                out.append(np.array(self.whole([text])[0], dtype=np.int64))
-                continue
-            ids: list[int] = []
-            for piece in pieces:
-                ids += known[piece]
-            out.append(np.array(ids, dtype=np.int64))
+        for words in split:
+            if words:
+                ids = chain(next(firsts), chain.from_iterable(map(known.__getitem__, words[1:])))
+                out.append(np.fromiter(ids, dtype=np.int64))
+            else:
+                out.append(np.array(next(rest), dtype=np.int64))
         return out
 
-
-def _pieces(text: str) -> list[str] | None:
-    """The text cut before each space, or None if that could part white space that belongs together."""
-    if not text or "  " in text or " \n" in text:
-        return None
-    first, *rest = text.split(" ")
-    if not first or any(not p or p[0].isspace() for p in rest):
-        return None
-    return [first, *[f" {p}" for p in rest]]
+    def _learn(self, new: list[str]) -> None:
+        if not new:
+            return
+        ids = self.whole([" " + " ".join(new)])[0]
+        at = np.flatnonzero(self.opens[ids]).tolist()
+        if len(at) == len(new) and at[0] == 0:
+            self.known.update(zip(new, [ids[a:b] for a, b in zip(at, [*at[1:], len(ids)])]))
+        else:
+            self.known.update(zip(new, self.whole([f" {p}" for p in new])))
 
 
 def write_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
@@ -167,8 +183,6 @@ def write_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
     )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(tokenizer_path)
         end = np.array([end_id], dtype=np.int64)

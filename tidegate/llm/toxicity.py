@@ -8,8 +8,7 @@ marked: a feature counts in how many distinct words it stands.  They are hashed
 2. A logistic regression is fitted on the columns times ``r``, over at most ``FIT_ROWS`` training rows of
    each label, those with the smallest hashes of their ids.  This is the documented bound of the fit; the
    ratios, and all scores, cover all rows.
-3. Every document is scored.  A linear score is a sum over words, so words are scored once per task and
-   kept in a bounded memory.
+3. Every document is scored.
 
 A document's columns are weighed by its evidence: the score sums the word scores of each sign apart, as
 the sum of neutral words of a long text would drown a few that are not.  The regression learns how the
@@ -29,19 +28,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import text_of
 
 BITS = 18
-SIZES = (2, 3, 4, 5)
+SIZES = (3, 4, 5)
 FIT_ROWS = 4000
 SMOOTHING = 1.0
-KNOWN_WORDS = 200_000
-#: Words longer than this give the n-grams of their pieces of this length.
-WORD_PIECE = 40
 TOP = 3
 
 
@@ -56,19 +51,25 @@ class Model:
     intercept: float
 
 
-def words_of(text: str) -> set[str]:
-    return set(text.lower().split())
-
-
-def columns_of(word: str) -> np.ndarray:
-    """The distinct columns of a word's n-grams."""
-    found = set()
-    for at in range(0, max(len(word), 1), WORD_PIECE):
-        marked = f"^{word[at : at + WORD_PIECE]}$"
-        for n in SIZES:
-            for i in range(max(1, len(marked) - n + 1)):
-                found.add(xxhash.xxh3_64_intdigest(marked[i : i + n]) & ((1 << BITS) - 1))
-    return np.fromiter(found, np.int64, len(found))
+def columns_of(text: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """The column of every n-gram of a text's distinct words, the word it is in, and how many words."""
+    words = sorted(set(text.lower().split()))
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    codes = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    gaps = np.cumsum(codes == 32)
+    columns, owners = [], []
+    hashes = np.zeros(len(codes), dtype=np.uint32)
+    for n in range(1, SIZES[-1] + 1):
+        hashes = hashes[: len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1 :] * np.uint32(0x9E3779B1)
+        if n < SIZES[0]:
+            continue
+        # An n-gram may start or end with the mark between words, but not go over it.
+        inside = np.flatnonzero(gaps[n - 2 : len(codes) - 1] == gaps[: len(codes) - n + 1])
+        found = hashes[inside] ^ (hashes[inside] >> np.uint32(15))
+        columns.append((found * np.uint32(0x85EBCA77) + np.uint32(n)) >> np.uint32(32 - BITS))
+        owners.append(gaps[inside] - 1)
+    return np.concatenate(columns).astype(np.int64), np.concatenate(owners), len(words)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -108,19 +109,12 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << BITS), dtype=np.int64)
         rows = np.zeros(2, dtype=np.int64)
-        known: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 rows[toxic] += 1
-                parts = []
-                for word in words_of(text):
-                    if (part := known.get(word)) is None:
-                        if len(known) >= KNOWN_WORDS // 4:
-                            known.clear()
-                        part = known[word] = columns_of(word)
-                    parts.append(part)
-                if parts:
-                    seen[toxic][np.unique(np.concatenate(parts))] += 1
+                flags = np.zeros(1 << BITS, dtype=bool)
+                flags[columns_of(text)[0]] = True
+                seen[toxic] += flags
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [
@@ -149,42 +143,27 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out, rows
 
 
-class WordScores:
-    """Mean weight of a word's columns, words kept in a bounded memory."""
-
-    def __init__(self, weights: np.ndarray):
-        self.weights, self.known = weights, {}
-
-    def of(self, text: str) -> np.ndarray:
-        known, out = self.known, []
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for word in words_of(text):
-            if (score := known.get(word)) is None:
-                score = known[word] = float(self.weights[columns_of(word)].mean())
-            out.append(score)
-        return np.array(out)
-
-    def summary(self, text: str) -> np.ndarray:
-        """The strongest word scores, the sum of the strong ones, and the mean."""
-        scores = self.of(text)
-        if not len(scores):
-            return np.zeros(TOP + 2)
-        top = np.sort(np.partition(scores, -min(TOP, len(scores)))[-TOP:])[::-1]
-        out = np.zeros(TOP + 2)
-        out[: len(top)] = top
-        out[TOP] = np.log1p(np.clip(scores - 1.0, 0, None).sum())
-        out[TOP + 1] = scores.mean()
+def summary(text: str, weights: np.ndarray) -> np.ndarray:
+    """Of the mean column weights of a text's words: the strongest, the sum of strong ones, the mean."""
+    columns, owners, n = columns_of(text)
+    out = np.zeros(TOP + 2)
+    if not n:
         return out
+    sums = np.bincount(owners, weights=weights[columns], minlength=n)
+    scores = sums / np.maximum(np.bincount(owners, minlength=n), 1)
+    top = np.sort(np.partition(scores, -min(TOP, n))[-TOP:])[::-1]
+    out[: len(top)] = top
+    out[TOP] = np.log1p(np.clip(scores - 1.0, 0, None).sum())
+    out[TOP + 1] = scores.mean()
+    return out
 
 
 def _summaries(rows: DataFrame, weights: np.ndarray) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(weights)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(sent.value)
         for batch in batches:
-            found = [scores.summary(t).tolist() for t in batch["text"].to_pylist()]
+            found = [summary(t, sent.value).tolist() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["toxic"], pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"]
             )
@@ -218,9 +197,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = sent.value
-        scores = WordScores(used.columns)
         for batch in batches:
-            found = [_score(scores.summary(t), used) for t in batch["text"].to_pylist()]
+            found = [_score(summary(t, used.columns), used) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.float64())], names=["doc_id", "score"]
             )
@@ -235,13 +213,12 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     @F.pandas_udf("double")
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         used = sent.value
-        known = WordScores(used.columns)
         for batch in texts:
-            yield pd.Series([_score(known.summary(t), used) for t in batch])
+            yield pd.Series([_score(summary(t, used.columns), used) for t in batch])
 
     return docs.where(scores(text_of()) < threshold)
 
 
-def _score(summary: np.ndarray, model: Model) -> float:
-    logit = float(((summary - model.shift) / model.spread) @ model.mix) + model.intercept
+def _score(found: np.ndarray, model: Model) -> float:
+    logit = float(((found - model.shift) / model.spread) @ model.mix) + model.intercept
     return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
