@@ -83,8 +83,9 @@ def test_as_text_keeps_null(spark):
         ("decimal(38,10)", T.DecimalType(38, 10)),
         ("Decimal(12, 2)", T.DecimalType(12, 2)),
         ("decimal", T.StringType()),
-        ("tinyint", T.StringType()),
-        ("binary", T.StringType()),
+        ("tinyint", T.ByteType()),
+        ("binary", T.BinaryType()),
+        ("interval day", T.StringType()),
         ("array<int>", T.StringType()),
     ],
 )
@@ -94,7 +95,7 @@ def test_type_map(spark, text, want):
 
 def test_nested_types_can_be_kept(spark):
     assert map_type("array<int>", keep_nested=True) == T.ArrayType(T.IntegerType())
-    assert map_type("tinyint", keep_nested=True) == T.StringType()
+    assert map_type("tinyint", keep_nested=True) == T.ByteType()
 
 
 def test_scan_schema_is_nullable():

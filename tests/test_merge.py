@@ -137,3 +137,30 @@ def test_merged_frame_and_mismatched_columns(spark):
         merged(spark.createDataFrame([(1,)], "k int"), target, ["k"])
     with pytest.raises(ValueError):
         merged(spark.createDataFrame([(2, "x")], "k int, other string"), target, ["k"])
+
+
+TYPES = [("int", "long"), ("decimal(10,2)", "decimal(12,4)"), ("string", "int"), ("long", "string")]
+
+
+@pytest.mark.parametrize("how", ["broadcast", "shuffle", "hot"])
+@pytest.mark.parametrize("one,two", TYPES)
+def test_keys_of_two_types_meet_on_every_path(spark, how, one, two):
+    source = spark.createDataFrame([("1",)] * 10 + [("2",)], "k string").select(F.col("k").cast(one))
+    target = spark.createDataFrame([("1",)], "k string").select(F.col("k").cast(two))
+    options = {"broadcast": {}, "shuffle": {"broadcast_bytes": 0}, "hot": {"broadcast_bytes": 0}}[how]
+    if how == "hot":
+        common = new_rows(source, target.limit(0), ["k"])
+        options["profile"] = profile_keys(common, ["k"], hot_share=0.0, hot_rows=5)
+    got = [float(r["k"]) for r in new_rows(source, target, ["k"], **options).collect()]
+    assert got == [2.0]
+
+
+def test_inserts_make_few_files(spark):
+    table = register(
+        spark, "tidegate_test", unique("files"), fresh_path(spark, "files"),
+        [TableColumn("k", "bigint"), TableColumn("p", "bigint", True)],
+    )
+    source = spark.range(0, 4000, 1, 8).select(F.col("id").alias("k"), (F.col("id") % 8).alias("p"))
+    merge_insert(spark, source, table, ["k"])
+    assert spark.table(table).count() == 4000
+    assert len(spark.table(table).inputFiles()) <= 8

@@ -14,10 +14,10 @@ events_by_day AS (
   GROUP BY event_id, user_id, DATE_FORMAT(ts, 'yyyyMMdd')
 )
 SELECT CAST(o_orderkey AS STRING) AS CONTRACT_ID, CAST(o_custkey AS STRING) AS CUSTOMER_ID,
-       CAST(amount AS DOUBLE) AS VALOR, 'MAINFRAME' AS FONTE, '20240201' AS DATA_PROCESSAMENTO
+       CAST(amount AS DOUBLE) AS VALOR, 'MAINFRAME' AS FONTE, DATE_FORMAT(:as_of, 'yyyyMMdd') AS DATA_PROCESSAMENTO
 FROM orders_by_contract
 UNION
-SELECT CAST(l_orderkey AS STRING), CAST(l_suppkey AS STRING), CAST(amount AS DOUBLE), 'MOBILE', '20240201'
+SELECT CAST(l_orderkey AS STRING), CAST(l_suppkey AS STRING), CAST(amount AS DOUBLE), 'MOBILE', DATE_FORMAT(:as_of, 'yyyyMMdd')
 FROM lines_by_contract
 UNION
 SELECT CAST(event_id AS STRING), CAST(user_id AS STRING), CAST(amount AS DOUBLE), 'EXTERNOS', day

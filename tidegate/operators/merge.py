@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.names import quoted, quoted_table, resolve_all
+from tidegate.operators.sinks import balanced
+from tidegate.sources.schema import partition_columns
 from tidegate.storage import stage
 
 # A sketch that tracks this many keys finds each one that holds a two-thousandth of the rows, and there
@@ -65,18 +67,35 @@ def new_rows(
     """Source rows whose key is not in the target, duplicates and NULL keys included.
 
     Of the target only the key columns are read, and copies of a key are folded before any shuffle.
-    The profile of the source (taken here if not given) decides how the two meet.
+    Keys of both sides are cast to one type first, so that the same key is the same value, and has the
+    same hash, whatever types it comes in; a text and a number meet as texts.  The profile of the source
+    (taken here if not given) decides how the two meet, and never which rows come out.
     """
     keys = resolve_all(source.columns, keys)
-    profile = profile or profile_keys(source, keys)
-    known = target.select([F.col(quoted(k)) for k in resolve_all(target.columns, keys)]).toDF(*keys)
+    others = resolve_all(target.columns, keys)
+    names = [f"_key_{i}" for i in range(len(keys))]
+    types = [common_type(source, k, target, o) for k, o in zip(keys, others)]
+    keyed = source.withColumns({n: F.col(quoted(k)).cast(t) for n, k, t in zip(names, keys, types)})
+    known = target.select([F.col(quoted(o)).cast(t).alias(n) for n, o, t in zip(names, others, types)])
+    profile = profile or profile_keys(keyed, names)
     if profile.key_bytes <= broadcast_bytes:
-        joined = _by_broadcast(source, known, keys)
+        joined = _by_broadcast(keyed, known, names)
     else:
-        joined = _by_shuffle(source, known, keys, profile.hot_hashes)
+        joined = _by_shuffle(keyed, known, names, profile.hot_hashes)
     return joined.select([F.col(quoted(c)) for c in source.columns])
 
 
+def common_type(source: DataFrame, key: str, target: DataFrame, other: str) -> T.DataType:
+    """The type both sides of a key are compared in."""
+    one, two = source.schema[key].dataType, target.schema[other].dataType
+    if one == two:
+        return one
+    if isinstance(one, T.StringType) or isinstance(two, T.StringType):
+        return T.StringType()
+    both = F.coalesce(F.lit(None).cast(one), F.lit(None).cast(two))
+    return source.sparkSession.range(0).select(both.alias("k")).schema["k"].dataType
+
+
 def _by_broadcast(source: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """For a source whose keys measurably fit in memory: neither side is shuffled.
 
@@ -122,7 +141,8 @@ def merge_insert(
     held = stage(source, "merge") if staged else None
     try:
         fresh = new_rows(held.frame if held else source, target, keys, **options)
-        aligned(fresh, target).write.insertInto(table, overwrite=False)
+        rows = balanced(aligned(fresh, target), partition_columns(spark, table))
+        rows.write.insertInto(table, overwrite=False)
     finally:
         if held:
             held.release()
@@ -151,11 +171,17 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Bytes of the key of a row: measured for texts, 16 for anything else, and 16 for the row."""
+    """Bytes of the key of a row: measured for texts and binary, 16 for other plain values, 16 for the row.
+
+    Nested keys can be of any size, so they count as too large to broadcast.
+    """
     size = F.lit(16).cast("long")
     for key in keys:
-        if isinstance(df.schema[key].dataType, T.StringType):
+        kind = df.schema[key].dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(F.col(quoted(key))), F.lit(0))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = size + F.lit(1 << 40)
         else:
             size = size + F.lit(16)
     return size

@@ -30,6 +30,7 @@ STORED_OUTCOME_SCHEMA = (
     T.StructType(list(OUTCOME_SCHEMA.fields))
     .add("table_name", T.StringType())
     .add("anomesdia", T.StringType())
+    .add("job", T.StringType())
 )
 
 _COMPARE = {
@@ -81,10 +82,14 @@ def outcome_frame(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*made)))
 
 
-def stamp_outcomes(df: DataFrame, table_name: str, as_of: datetime) -> DataFrame:
-    """Outcomes with the table they are about and the day of the run."""
+def stamp_outcomes(df: DataFrame, table_name: str, as_of: datetime, job: str | None = None) -> DataFrame:
+    """Outcomes with the table they are about, the day of the run and the job that asked (by its target)."""
     return df.withColumns(
-        {"table_name": F.lit(table_name), "anomesdia": F.lit(as_of.strftime("%Y%m%d"))}
+        {
+            "table_name": F.lit(table_name),
+            "anomesdia": F.lit(as_of.strftime("%Y%m%d")),
+            "job": F.lit(job or table_name),
+        }
     )
 
 

@@ -12,13 +12,13 @@ from tidegate.functions.dates import stamp_literal
 from tidegate.functions.keys import as_text
 from tidegate.functions.names import quoted, quoted_table, resolve, resolve_all
 from tidegate.sources.schema import partition_columns
-from tidegate.storage import path_has_files, stage
+from tidegate.storage import Staged, path_has_files, stage
 
 # Fixed values of the written tables.
 STAMP_COLUMN = "last_update_date"
 MAX_RECORDS_PER_FILE = 5_000_000
 CODEC = "zstd"
-OUTCOME_PARTITIONS = ["table_name", "anomesdia"]
+OUTCOME_PARTITIONS = ["table_name", "anomesdia", "job"]
 
 BUCKET_COLUMN = "key_bucket"
 KEY_BUCKETS = 64
@@ -83,7 +83,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_outcomes(outcome_rows: DataFrame, root: str, phase: str, as_of: datetime) -> None:
-    """Stamped outcomes under ``root/phase``; earlier outcomes of other tables and days stay.
+    """Stamped outcomes under ``root/phase``; earlier outcomes of other tables, days and jobs stay.
 
     There is one row per rule, so they go into one file, by one task.
     """
@@ -129,21 +129,29 @@ def upsert_keyed(
     keys = resolve_all(df.columns, keys)
     bucket = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(buckets)).cast("int")
     fresh = stage(keyed_text(df, keys, order_by).withColumn(BUCKET_COLUMN, bucket), "upsert-batch")
-    if not path_has_files(spark, path):
-        write_partitioned(fresh.frame, path, [BUCKET_COLUMN])
+    merged = None
+    try:
+        merged = _replace_buckets(spark, fresh.frame, path, keys)
+    finally:
         fresh.release()
-        return
-    touched = [r[0] for r in fresh.frame.select(BUCKET_COLUMN).distinct().collect()]
+        if merged:
+            merged.release()
+
+
+def _replace_buckets(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str]) -> Staged | None:
+    if not path_has_files(spark, path):
+        write_partitioned(fresh, path, [BUCKET_COLUMN])
+        return None
+    touched = [r[0] for r in fresh.select(BUCKET_COLUMN).distinct().collect()]
     old = _keyed_rows(spark, path).where(F.col(BUCKET_COLUMN).isin(touched))
-    new_keys = fresh.frame.select([F.col(quoted(k)).alias(f"_new_{i}") for i, k in enumerate(keys)])
+    new_keys = fresh.select([F.col(quoted(k)).alias(f"_new_{i}") for i, k in enumerate(keys)])
     same = F.lit(True)
     for i, key in enumerate(keys):
         same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_new_{i}"))
     kept = old.join(new_keys, same, "left_anti")
-    merged = stage(kept.unionByName(fresh.frame, allowMissingColumns=True), "upsert")
+    merged = stage(kept.unionByName(fresh, allowMissingColumns=True), "upsert")
     write_partitioned(merged.frame, path, [BUCKET_COLUMN])
-    merged.release()
-    fresh.release()
+    return merged
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:

@@ -15,9 +15,9 @@ from tidegate.operators.ledger import record
 from tidegate.operators.merge import merge_insert
 from tidegate.operators.quality import PASSED, outcome_frame, outcomes, stamp_outcomes
 from tidegate.operators.sinks import register_partitions, write_outcomes, write_partitioned
-from tidegate.sources.scans import expose_view, read_catalog, read_dependency
-from tidegate.sources.schema import table_columns
-from tidegate.spec import JobSpec, Rule
+from tidegate.sources.scans import drop_view, expose_view, read_catalog, read_dependency, refuse_taken
+from tidegate.sources.schema import check_writable, table_columns, table_location
+from tidegate.spec import Dependency, JobSpec, Rule
 from tidegate.storage import Lake, load_spec, load_sql, stage
 
 OUTCOME_TABLES = ("sor.predq", "sor.quality")
@@ -66,7 +66,13 @@ def run_job(
     """
     if policy not in gates.POLICIES:
         raise ValueError(f"policy must be one of {gates.POLICIES}, not {policy!r}")
-    report = RunReport(spec.table, lake.target(spec.layer, spec.table))
+    columns = table_columns(spark, spec.identifier)
+    check_writable(columns, keep_nested)
+    path = table_location(spark, spec.identifier) or lake.target(spec.layer, spec.table)
+    report = RunReport(spec.table, path)
+    landing = spec.layer == "CSV"
+    if not landing:
+        refuse_taken(spark, [d.table for d in spec.dependencies])
     temporary = []
 
     def settle(df: DataFrame, label: str) -> DataFrame:
@@ -77,7 +83,6 @@ def run_job(
 
     try:
         # Text files have no columns to prune, so a landing file is parsed once, not once per step.
-        landing = spec.layer == "CSV"
         source = None
         for dependency in spec.dependencies:
             source = read_dependency(spark, spec, dependency, lake, as_of)
@@ -86,28 +91,27 @@ def run_job(
             else:
                 expose_view(source, dependency.table)
             passed = check(
-                source, dependency.rules, dependency.table, READ_PHASE, lake, as_of, report, approx_rsd
+                source, dependency.rules, dependency, READ_PHASE, lake, as_of, report, approx_rsd, spec
             )
             read = gates.goes_on(passed, policy, dependency.read_if_fail)
             report.reads[dependency.table] = gates.READ if read else gates.STOP
             if not read:
                 raise QualityStop(f"{dependency.table} failed its quality rules", report)
 
-        columns = table_columns(spark, spec.identifier)
         if landing:
             result = source
         else:
             if sql is None:
                 raise ValueError(f"a {spec.layer} job needs its SQL")
-            result = cast_to_columns(spark.sql(sql), columns, keep_nested)
+            result = cast_to_columns(run_sql(spark, sql, as_of), columns, keep_nested)
             result = settle(result, spec.table)
 
-        passed = check(result, spec.rules, spec.table, RESULT_PHASE, lake, as_of, report, approx_rsd)
+        passed = check(result, spec.rules, spec, RESULT_PHASE, lake, as_of, report, approx_rsd, spec)
         if gates.goes_on(passed, policy, spec.write_if_fail):
             report.write = gates.WRITE
             by = [c.name for c in columns if c.is_partition]
             write_partitioned(result, report.path, by, as_of, overwrite)
-            record(result, lake.ledger, spec.table, by, as_of)
+            record(result, lake.ledger, spec.identifier, by, as_of)
             register_partitions(spark, spec.identifier, partitioned=bool(by))
         for name in outcome_tables:
             if spark.catalog.tableExists(quoted_table(name)):
@@ -116,6 +120,18 @@ def run_job(
     finally:
         for one in temporary:
             one.release()
+        if not landing:
+            for dependency in spec.dependencies:
+                drop_view(spark, dependency.table)
+
+
+def run_sql(spark: SparkSession, sql: str, as_of: datetime | None = None) -> DataFrame:
+    """SQL text of a job.  ``:as_of`` in it is the time of the run."""
+    if ":as_of" not in sql:
+        return spark.sql(sql)
+    if as_of is None:
+        raise ValueError("the SQL asks for :as_of, but no time was given")
+    return spark.sql(sql, args={"as_of": as_of})
 
 
 def run_table(
@@ -133,6 +149,7 @@ def run_merge(
     sql: str,
     target: str,
     keys: Sequence[str],
+    as_of: datetime | None = None,
     **options,
 ) -> None:
     """Run SQL over whole catalog tables, each a view under its table name, and append the rows whose
@@ -140,20 +157,26 @@ def run_merge(
     names = [source.split(".")[1].lower() for source in sources]
     if len(set(names)) < len(names):
         raise ValueError(f"two sources would share one view name: {sorted(names)}")
-    for source in sources:
-        expose_view(read_catalog(spark, source), source.split(".")[1])
-    merge_insert(spark, spark.sql(sql), target, keys, **options)
+    refuse_taken(spark, names)
+    try:
+        for source in sources:
+            expose_view(read_catalog(spark, source), source.split(".")[1])
+        merge_insert(spark, run_sql(spark, sql, as_of), target, keys, **options)
+    finally:
+        for name in names:
+            drop_view(spark, name)
 
 
 def check(
     df: DataFrame,
     rules: Sequence[Rule],
-    table: str,
+    of: Dependency | JobSpec,
     phase: str,
     lake: Lake,
     as_of: datetime,
     report: RunReport,
     approx_rsd: float | None,
+    job: JobSpec,
 ) -> bool:
     """Evaluate a rule set, store its outcomes, and say whether all rules passed.
 
@@ -161,8 +184,9 @@ def check(
     stored rows and the answer are made from them.
     """
     rows = outcomes(df, rules, approx_rsd).collect()
-    report.outcomes[f"{phase}/{table}"] = rows
+    report.outcomes[f"{phase}/{of.table}"] = rows
     if rows:
-        frame = stamp_outcomes(outcome_frame(df.sparkSession, rows), table, as_of)
+        name = of.identifier if of.database else of.table
+        frame = stamp_outcomes(outcome_frame(df.sparkSession, rows), name, as_of, job.identifier)
         write_outcomes(frame, lake.outcomes, phase, as_of)
     return all(row["outcome"] == PASSED for row in rows)

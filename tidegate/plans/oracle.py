@@ -264,4 +264,15 @@ ORACLE: dict[str, str] = {
         SELECT table_name, rules, failed, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS entries
         FROM (VALUES ('tb_orders', 3, 0), ('tb_lineitem', 2, 0), ('tb_events', 2, 0),
                      ('contract_totals_gated', 2, 1)) AS v(table_name, rules, failed)""",
+    "q14_merge_mixed_types": """
+        SELECT CAST(l_orderkey % 50 AS INTEGER) AS contract_id, 'S' AS origin FROM lineitem
+        WHERE l_orderkey % 50 NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey < 25)""",
+    "q33_two_databases": """
+        WITH days AS (SELECT * FROM (VALUES ('20240130'), ('20240201')) AS v(day)),
+        dbs AS (SELECT * FROM (VALUES ('first'), ('second')) AS v("database"))
+        SELECT 'row' AS what, o_orderstatus AS status, day, COUNT(*) AS n,
+               CASE WHEN o_orderstatus = 'F' THEN 'first' ELSE 'second' END AS "database"
+        FROM orders, days GROUP BY o_orderstatus, day
+        UNION ALL SELECT 'entry', NULL, day, 1, "database" FROM days, dbs
+        UNION ALL SELECT 'outcomes', NULL, day, 2, "database" FROM days, dbs""",
 }

@@ -25,7 +25,7 @@ from tidegate.operators.maintenance import (
     stored_files,
     stored_partitions,
 )
-from tidegate.operators.merge import merge_insert
+from tidegate.operators.merge import merge_insert, new_rows, profile_keys
 from tidegate.operators.quality import (
     STORED_OUTCOME_SCHEMA,
     failures,
@@ -42,10 +42,11 @@ from tidegate.operators.sinks import (
     write_partitioned,
 )
 from tidegate.operators.totals import Branch, tagged_totals, totals, union_rows
-from tidegate.plans.job import run_job, run_merge
+from tidegate.plans.job import run_job, run_merge, run_sql
 from tidegate.sources import (
     TableColumn,
     dated_name,
+    drop_view,
     expose_view,
     partition_columns,
     read_catalog,
@@ -183,10 +184,13 @@ def views(spark, sf_dir):
     for name in ("customer", "nation"):
         identifier = register(spark, "tidegate_check", unique(name), f"{sf_dir}/{name}.parquet")
         expose_view(read_catalog(spark, identifier), f"tb_{name.title()}")
-    return spark.sql(
+    rows = spark.sql(
         """SELECT n_name, COUNT(*) AS n_customers FROM TB_CUSTOMER
            JOIN TB_NATION ON c_nationkey = n_nationkey GROUP BY n_name"""
     )
+    for name in ("tb_Customer", "tb_Nation"):
+        drop_view(spark, name)
+    return rows
 
 
 def partitioned_write(spark, sf_dir):
@@ -317,6 +321,76 @@ def merge(spark, sf_dir):
     return spark.table(identifier)
 
 
+def merge_mixed_types(spark, sf_dir):
+    """The source's keys are ints, the target's longs, and the source's hot keys take the path of their own."""
+    lines = table(spark, sf_dir, "lineitem")
+    source = lines.select(
+        (F.col("l_orderkey") % 50).cast("int").alias("contract_id"), F.lit("S").alias("origin")
+    )
+    known = table(spark, sf_dir, "orders").where("o_orderkey < 25").select(
+        F.col("o_orderkey").cast("long").alias("contract_id"), F.lit("T").alias("origin")
+    )
+    keyed = source.select(F.col("contract_id").cast("long").alias("_key_0"))
+    hot = profile_keys(keyed, ["_key_0"], hot_share=0.0, hot_rows=1)
+    return new_rows(source, known, ["contract_id"], profile=hot, broadcast_bytes=0)
+
+
+def two_databases(spark, sf_dir):
+    """Two jobs with one table name in two databases and one input: both tables, ledger entries, outcomes."""
+    lake = Lake.under(fresh_path(spark, "two-databases"))
+    register(spark, "tidegate_sor", "tb_pair_orders", f"{sf_dir}/orders.parquet")
+    columns = [
+        TableColumn("status", "string"),
+        TableColumn("n_orders", "bigint"),
+        TableColumn("last_update_date", "timestamp"),
+        TableColumn("day", "string", True),
+    ]
+    found = None
+    for database, wanted in (("first", "'F'"), ("second", "'O', 'P'")):
+        spec = parse_spec(
+            {
+                "DataLayer": "SOT",
+                "TableName": "tb_pair",
+                "DatabaseName": unique(f"tidegate_{database}"),
+                "Machine": {"Capacity": 2, "Type": "G.1X"},
+                "Dependencies": [
+                    {
+                        "TableName": "tb_pair_orders",
+                        "DatabaseName": "tidegate_sor",
+                        "Predicate": [],
+                        "Quality": {"Rules": ["RowCount > 1"], "ReadIfFail": False},
+                    }
+                ],
+                "Quality": {"Rules": ["RowCount > 0"], "WriteIfFail": False},
+            }
+        )
+        register(spark, spec.database, spec.table, fresh_path(spark, "pair"), columns)
+        sql = (
+            "SELECT o_orderstatus AS status, COUNT(*) AS n_orders, DATE_FORMAT(:as_of, 'yyyyMMdd') AS day "
+            f"FROM tb_pair_orders WHERE o_orderstatus IN ({wanted}) GROUP BY o_orderstatus"
+        )
+        for as_of in (EVENTS_AS_OF, AS_OF):
+            run_job(spark, spec, lake, as_of, sql)
+        entries = read_ledger(spark, lake.ledger).where(F.col("table_name") == spec.identifier)
+        reader = spark.read.schema(STORED_OUTCOME_SCHEMA)
+        kept = reader.parquet(f"{lake.outcomes}/predq").unionAll(reader.parquet(f"{lake.outcomes}/quality"))
+        kept = kept.where(F.col("job") == spec.identifier)
+        rows = (
+            spark.table(spec.identifier).select(F.lit("row").alias("what"), "status", "day", F.col("n_orders").alias("n"))
+            .unionAll(
+                entries.groupBy("prtc_key").agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit("entry"), F.lit(None).cast("string"), F.substring("prtc_key", 5, 8), "n")
+            )
+            .unionAll(
+                kept.groupBy("anomesdia").agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit("outcomes"), F.lit(None).cast("string"), "anomesdia", "n")
+            )
+            .withColumn("database", F.lit(database))
+        )
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
 def order_totals(spark, sf_dir):
     rows = totals(
         table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey"], "o_totalprice", "total"
@@ -377,7 +451,10 @@ def union_sql(spark, sf_dir):
     """The same totals as ``contract_totals``, as SQL text over views."""
     for name in ("orders", "lineitem", "events"):
         expose_view(table(spark, sf_dir, name), f"tb_{name}")
-    return cast_to_columns(spark.sql(example_sql("contract_totals")), TOTALS_COLUMNS)
+    rows = cast_to_columns(run_sql(spark, example_sql("contract_totals"), AS_OF), TOTALS_COLUMNS)
+    for name in ("orders", "lineitem", "events"):
+        drop_view(spark, f"tb_{name}")
+    return rows
 
 
 def row_count_rules(spark, sf_dir):
@@ -431,7 +508,7 @@ def stored_outcomes(spark, sf_dir):
         write_outcomes(rows, root, "predq", AS_OF)
     stored = spark.read.schema(STORED_OUTCOME_SCHEMA).parquet(f"{root}/predq")
     failed = failures(stored).groupBy("table_name").agg(F.count(F.lit(1)).alias("failed_rules"))
-    return stored.join(failed, "table_name", "left")
+    return stored.drop("job").join(failed, "table_name", "left")
 
 
 def gate_actions(spark, sf_dir):
@@ -563,11 +640,17 @@ def gated_job(spark, sf_dir):
     )
     result = spark.table(spec.identifier).agg(F.count(F.lit(1)).alias("rows_written"))
     entries = read_ledger(spark, lake.ledger).agg(F.count(F.lit(1)).alias("entries"))
+    stored = stored.withColumn("table_name", F.substring_index("table_name", ".", -1))
     found = stored.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rules"), F.count_if(F.col("outcome") == "Failed").alias("failed")
     )
-    return found.select(
-        "*", F.lit(result.first()[0]).alias("rows_written"), F.lit(entries.first()[0]).alias("entries")
+    # Both are one row; the constant key joins them in the plan.
+    one = F.lit(1).alias("one")
+    return (
+        found.select("*", one)
+        .join(result.select("*", one), "one", "left")
+        .join(entries.select("*", one), "one", "left")
+        .drop("one")
     )
 
 
@@ -582,7 +665,7 @@ def _union_job(spark, sf_dir, name):
     for source in ("orders", "lineitem", "events"):
         register(spark, "tidegate_sor", f"tb_{source}", f"{sf_dir}/{source}.parquet")
     register(spark, spec.database, spec.table, lake.target(spec.layer, spec.table), TOTALS_COLUMNS)
-    run_job(spark, spec, lake, AS_OF, example_sql(name))
+    run_job(spark, spec, lake, AS_OF, example_sql("contract_totals"))
     return lake, spec
 
 
@@ -604,7 +687,7 @@ def merge_job(spark, sf_dir):
         F.lit("KNOWN"),
         F.lit("20240101"),
     ).write.insertInto(target)
-    run_merge(spark, sources, example_sql("contract_totals"), target, ["contract_id"])
+    run_merge(spark, sources, example_sql("contract_totals"), target, ["contract_id"], as_of=AS_OF)
     return spark.table(target)
 
 
@@ -622,6 +705,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q12_timestamp_window": timestamp_window,
     "q13_cast_projection": cast_projection,
     "q14_merge_insert": merge,
+    "q14_merge_mixed_types": merge_mixed_types,
     "q15_order_totals": order_totals,
     "q16_text_totals": text_totals,
     "q17_contract_totals": contract_totals,
@@ -642,4 +726,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q30_union_job": union_job,
     "q31_gated_job": gated_job,
     "q32_merge_job": merge_job,
+    "q33_two_databases": two_databases,
 }

@@ -1,5 +1,6 @@
 from tidegate.sources.scans import (
     dated_name,
+    drop_view,
     expose_view,
     read_catalog,
     read_csv,
@@ -17,6 +18,7 @@ from tidegate.sources.schema import (
 __all__ = [
     "TableColumn",
     "dated_name",
+    "drop_view",
     "expose_view",
     "map_type",
     "partition_columns",

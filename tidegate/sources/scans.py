@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +24,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, identifier: str, predicate: str | None = None) -> DataFrame:
-    """A catalog table, filtered.  Only ``database.table`` counts; further dotted parts are ignored.
+    """A catalog table, filtered.  Its name is ``database.table``, nothing less and nothing more.
 
     A predicate on partition columns prunes partitions, one on other columns reaches the file reader.
     """
-    parts = identifier.split(".")
-    if len(parts) < 2:
+    if len(identifier.split(".")) != 2:
         raise SpecError(f"{identifier!r} is not of the form database.table")
-    frame = spark.table(quoted_table(".".join(parts[:2])))
+    frame = spark.table(quoted_table(identifier))
     return frame.where(predicate) if predicate else frame
 
 
@@ -45,6 +45,18 @@ def expose_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def drop_view(spark: SparkSession, name: str) -> None:
+    """Take back what ``expose_view`` made; a DataFrame made from SQL over it stays valid."""
+    spark.catalog.dropTempView(name)
+
+
+def refuse_taken(spark: SparkSession, names: Iterable[str]) -> None:
+    """Views of a job must be its own: a name that the session uses already is refused."""
+    taken = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    if both := sorted(taken & {n.lower() for n in names}):
+        raise SpecError(f"the session has views of these names already: {both}")
+
+
 def read_dependency(
     spark: SparkSession, spec: JobSpec, dependency: Dependency, lake: Lake, as_of: datetime
 ) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidegate.functions.names import quoted_table
+from tidegate.spec import SpecError
 
-# The closed map from catalog type names to Spark types.
+# The closed map from catalog type names to Spark types, with Spark's other plain types.
 SIMPLE_TYPES = {
     "string": T.StringType(),
     "varchar": T.StringType(),
@@ -24,6 +25,10 @@ SIMPLE_TYPES = {
     "double": T.DoubleType(),
     "timestamp": T.TimestampType(),
     "date": T.DateType(),
+    "tinyint": T.ByteType(),
+    "smallint": T.ShortType(),
+    "binary": T.BinaryType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 _DECIMAL = re.compile(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)")
@@ -58,6 +63,22 @@ def table_columns(spark: SparkSession, identifier: str) -> list[TableColumn]:
     ]
 
 
+def check_writable(columns: Sequence[TableColumn], keep_nested: bool = False) -> None:
+    """Refuse a table with a column whose mapped type is not the column's own: its files could not be read."""
+    for column in columns:
+        text = column.type_text.strip().lower()
+        own = T.StringType() if text.startswith(("char", "varchar")) else T.DataType.fromDDL(column.type_text)
+        if map_type(column.type_text, keep_nested) != own:
+            raise SpecError(f"column {column.name} of type {column.type_text} would be written as another type")
+
+
+def table_location(spark: SparkSession, identifier: str) -> str | None:
+    """Where the catalog says a table lies."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(identifier)}").where("col_name = 'Location'")
+    found = rows.first()
+    return found["data_type"] if found else None
+
+
 def partition_columns(spark: SparkSession, identifier: str) -> list[str]:
     return [c.name for c in table_columns(spark, identifier) if c.is_partition]
 
