@@ -1,0 +1,311 @@
+"""Operators on small frames against plain versions: NULLs, empty texts, ties, copies, extra columns."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tidegate.llm import decontaminate, jaccard_join, kd_shards, mixing, pii, repeats, simhash, token_blocks
+from tidegate.llm import toxicity, url_cascade
+from tidegate.llm.components import components
+from tidegate.llm.queries import SHARD_DIMS, URL_RULES, tokenizer_path
+from tidegate.storage import fresh_path, stage
+
+RANDOM = random.Random(7)
+WORDS = [f"{a}{b}{c}" for a in "bdgklmnprst" for b in "aeiou" for c in ("", "n", "ß", "r")]
+
+
+def sentence(n):
+    return " ".join(RANDOM.choice(WORDS) for _ in range(n))
+
+
+def corpus():
+    """Copies, near copies, shared passages, periodic and odd texts."""
+    base, passage = sentence(120), sentence(40)
+    near = base.split()
+    near[60] = "changed"
+    texts = [None, "", "   ", "one", "One two", "a b c d e", "a b c d e", base, base, " ".join(near), base + " more words"]
+    texts += [f"{sentence(60)} {passage} {sentence(30)}" for _ in range(6)]
+    texts += ["x" * 300, "ab" * 150, base.upper(), "é" * 130 + sentence(20), f"{passage}\n\n{passage}"]
+    texts += [sentence(n) for n in (4, 6, 9, 9, 20, 300)]
+    return list(enumerate(texts))
+
+
+DOCS = corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """With extra columns whose names clash with those that operators add or use."""
+    rows = [(i, t, f"s{i % 3}" if i % 7 else None, 1, 2, 3) for i, t in DOCS]
+    return stage(
+        spark.createDataFrame(rows, "doc_id long, text string, source string, n int, size int, key int").repartition(3),
+        "llm-test",
+    ).frame
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is None, r))
+
+
+def test_repeats(docs, none):
+    for depth, gram in ((100, 40), (50, 20)):
+        got = rows_of(repeats.remove_repeats(docs, depth, gram))
+        assert got == brute.repeats(DOCS, depth)
+    assert sum(r[2] for r in got) > 0
+    assert repeats.remove_repeats(none).count() == 0
+
+
+def test_repeated_rows_are_copies(spark):
+    text = sentence(100)
+    df = spark.createDataFrame([(1, text), (1, text), (None, "short")], "doc_id long, text string")
+    got = rows_of(repeats.remove_repeats(df, 60, 25))
+    assert [(r[0], r[2] == r[1]) for r in got] == [(1, True), (1, True), (None, False)]
+
+
+def test_anchors_cover_every_window_once():
+    data = np.frombuffer((sentence(200) + "z" * 400).encode(), np.uint8)
+    _, first, count = repeats.anchors(repeats.prefix_sums(data), 100, 40)
+    covered = np.concatenate([np.arange(a, a + n) for a, n in zip(first, count)])
+    assert (covered == np.arange(len(data) - 99)).all()
+
+
+def test_simhash_and_edits(docs, none):
+    got = {r["doc_id"]: r for r in simhash.compare_with_edits(docs).collect()}
+    texts = [t or "" for _, t in DOCS]
+    for i, text in enumerate(texts):
+        following = (i + 1) % len(texts)
+        n, quarter = len(text), len(text) // 4
+        edited = text[: n - quarter] + texts[following][:quarter]
+        assert got[i]["n_chars"] == n and got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        apart = bin((got[i]["fp"] ^ got[following]["fp"]) & (2**64 - 1)).count("1")
+        assert got[i]["near_next"] == 1 - apart / 64
+    assert got[7]["fp"] == got[8]["fp"] and got[0]["fp"] == got[1]["fp"] == 0
+    assert simhash.compare_with_edits(none).count() == 0
+
+
+def test_permuted_tables_find_all_within_the_radius(spark):
+    values = [RANDOM.getrandbits(64) for _ in range(30)]
+    for v in values[:15]:
+        for flips in range(6):
+            values.append(v ^ sum(1 << b for b in RANDOM.sample(range(64), flips)))
+    signed = [v - (v >> 63 << 64) for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    got = {r["fp"]: r["n_near"] for r in simhash.near(df, df).collect()}
+    assert got == brute.near_counts(signed, simhash.RADIUS)
+
+
+ITEMS = [(1, " ".join(DOCS[16][1].split()[60:80])), (20, " ".join(DOCS[16][1].split()[65:95])), (3, "One two"), (None, "ein"), (5, None), (6, "")]
+
+
+@pytest.mark.parametrize("table_bytes", [decontaminate.TABLE_BYTES, 0])
+def test_contamination(spark, docs, none, table_bytes):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    judged = decontaminate.contamination(docs, items, table_bytes=table_bytes)
+    got = rows_of(
+        judged.select("doc_id", "n_words", "n_hit", F.array_join("items", ",").alias("items"), "contaminated")
+    )
+    assert got == brute.contamination(DOCS, ITEMS, 13)
+    assert any(r[2] for r in got)
+    assert decontaminate.contamination(docs, items.where("false")).where("n_hit > 0").count() == 0
+    assert decontaminate.contamination(none, items, table_bytes=table_bytes).count() == 0
+
+
+def test_contaminated_documents_and_spans_go(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    bad = {r[0] for r in brute.contamination(DOCS, ITEMS, 13) if r[4]}
+    kept = decontaminate.clean_documents(docs, items)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, _ in DOCS} - bad
+    cut = stage(decontaminate.clean_spans(docs, items), "llm-cut").frame
+    assert cut.count() == len(DOCS)
+    assert decontaminate.contamination(cut, items).where("n_hit > 0").count() == 0
+
+
+def test_url_rules(spark):
+    urls = [
+        None, "", "no-scheme.com/x", "http://A.com", "http://a.com/", "https://x.EXAMPLE.com/en/1?q#f",
+        "https://www.example.com/en/", "ftp://b.www.example.com/en/a", "http://q.net/es/", "http://net/fr/?x",
+        "http://q.net/de/", "http://example.com?/en/", "a://b://c.com/", "http://notexample.com/en/", "http://a.com/",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_cascade.judge(pages, URL_RULES).collect()}
+    none = (None, "allow")
+    com, en = ("com/", "allow"), ("example.com/en/", "block")
+    www, es, fr = ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")
+    assert list(map(got.get, range(len(urls)))) == [none, none, none, none, com, en, www, www, es, fr, none, none, none, com, com]
+    assert url_cascade.judge(pages.where("false"), URL_RULES).count() == 0
+    assert {r["verdict"] for r in url_cascade.judge(pages, ()).collect()} == {"allow"}
+
+
+def test_a_cascade_is_exact_over_its_universe(spark):
+    keys = [f"k{i}" for i in range(3000)]
+    yes = set(RANDOM.sample(keys, 300))
+    levels = url_cascade.build(spark.createDataFrame([(k,) for k in keys], "key string"), sorted(yes))
+    assert {k for k in keys if url_cascade.listed(levels, k)} == yes and len(levels) > 1
+
+
+def test_jaccard_classes(docs, none):
+    assert rows_of(jaccard_join.join_classes(docs)) == sorted(brute.jaccard_classes(DOCS))
+    kept = jaccard_join.first_of_each(docs)
+    first = {i for i, _, g in brute.jaccard_classes(DOCS) if i == g}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == first
+    assert jaccard_join.join_classes(none).count() == 0
+
+
+def test_chains_of_near_copies_and_a_group_of_copies(spark):
+    words = sentence(100).split()
+    texts = []
+    for step in range(25):
+        words = [*words[:-2], f"x{step}", f"y{step}"] if step % 2 else [f"z{step}", *words[1:]]
+        texts.append(" ".join(words))
+    texts += [sentence(30)] * 60
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(jaccard_join.join_classes(df)) == sorted(brute.jaccard_classes(rows))
+
+
+def test_signatures_meet_for_every_similar_pair():
+    for n in (1, 2, 5, 9, 10, 14, 40, 200):
+        for _ in range(40):
+            one = {RANDOM.getrandbits(64) for _ in range(n)}
+            drop = RANDOM.randint(0, n // 5)
+            two = set(list(one)[drop:]) | {RANDOM.getrandbits(64) for _ in range(RANDOM.randint(0, n // 5))}
+            both = len(one & two)
+            if two and 100 * both >= 80 * len(one | two):
+                sigs = [jaccard_join.signatures(np.array(sorted(s), np.uint64)) for s in (one, two)]
+                assert set(sigs[0]) & set(sigs[1])
+
+
+def test_components(spark):
+    edges = [(i + 1, i) for i in range(20)] + [(100, 50), (100, 51), (7, 7), (300, 200), (200, 300)]
+    got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long"))))
+    assert got == {**{i: 0 for i in range(21)}, 100: 50, 50: 50, 51: 50, 200: 200, 300: 200}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_mixing(docs, none):
+    got = mixing.mix(docs).collect()
+    sizes, caps = {}, {}
+    for r in got:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        caps[r["source"]] = r["target"]
+        assert r["taken"] == r["size"] * r["copies"] <= 2 * r["size"]
+    assert abs(sum(caps.values()) - 1.5 * sum(sizes.values())) < 1e-6 * sum(sizes.values())
+    assert all(caps[s] <= 2 * sizes[s] + 1e-9 for s in caps)
+    again = mixing.mix(docs.repartition(5)).select("doc_id", "copies")
+    assert rows_of(again) == sorted((r["doc_id"], r["copies"]) for r in got)
+    out = mixing.repeated(mixing.mix(docs))
+    assert "size" not in out.columns and out.count() == sum(r["copies"] for r in got)
+    assert mixing.mix(none).count() == 0
+
+
+def test_mixing_comes_near_its_targets(spark):
+    rows = [(i, " ".join("w" * RANDOM.randint(1, 30)), "hot" if i % 3 else f"s{i % 4}") for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in got.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("w")).collect():
+        assert abs(r["t"] - r["w"]) <= 60
+
+
+def test_private_spans(docs, spark, none):
+    text = "é mail a.b@c.example.com, ip 10.0.0.300 and 10.1.2.3; call +1 (212) 555-0100 card 4111 1111 1111 1111 x"
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (3, "")], "doc_id long, text string")
+    got = rows_of(pii.find(df))
+    at = {k: text.index(v) for k, v in (("email", "a.b"), ("ip", "10.1"), ("phone", "+1"), ("card", "4111"))}
+    base = sorted((at[k], f"{k}:{at[k]}:{at[k] + n}") for k, n in (("email", 17), ("ip", 8), ("phone", 17), ("card", 19)))
+    joined = ",".join(s for _, s in base)
+    assert got[0][1:5] == (1, 1, 1, 1)
+    assert got[0][5] == hashlib.sha256(joined.encode()).hexdigest()
+    assert set(joined.split(",")) <= set(got[0][6].split(","))
+    assert [r[1:] for r in got[1:]] == [(0, 0, 0, 0, hashlib.sha256(b"").hexdigest(), "")] * 3
+    assert pii.find(none).count() == 0 and pii.find(docs).count() == len(DOCS)
+
+
+def test_em_finds_reliable_labelers():
+    import pandas as pd
+
+    counts = {}
+    for _ in range(4000):
+        true = RANDOM.random() < 0.4
+        votes = "".join("yn"[(RANDOM.random() < p) != (not true)] for p in (0.05, 0.1, 0.15, 0.45))
+        counts[votes] = counts.get(votes, 0) + 1
+    frame = pd.DataFrame(sorted(counts.items()), columns=["votes", "n"])
+    found = dict(zip(frame["votes"], pii.reliabilities(frame)))
+    assert found["yyyn"] > 0.9 and found["nnny"] < 0.1
+
+
+def test_shards(docs, spark, none):
+    rows = stage(kd_shards.measured(docs), "shard-test").frame
+    got = kd_shards.with_slots(kd_shards.kd_shards(rows, SHARD_DIMS, 8)).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == {
+        i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in DOCS
+    }
+    for shard in {r["shard"] for r in got}:
+        slots = sorted((r["doc_id"], r["slot"]) for r in got if r["shard"] == shard)
+        assert [s for _, s in slots] == list(range(len(slots)))
+    assert kd_shards.kd_shards(kd_shards.measured(none), SHARD_DIMS, 8).count() == 0
+
+
+def test_shards_are_even_with_a_hot_group(spark):
+    df = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot " * 20)).otherwise(F.expr("repeat(cast(id as string), 1 + id % 40)")).alias("text"),
+    )
+    rows = stage(kd_shards.measured(df), "shard-hot").frame
+    sums = [r[1] for r in kd_shards.kd_shards(rows, SHARD_DIMS, 8).groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sums) == 8 and max(sums) < 1.05 * min(sums)
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 1000])
+@pytest.mark.parametrize("top", [1, 50000, 2**32])
+def test_blocks_round_trip(n, top):
+    ids = np.array([RANDOM.randrange(top) if RANDOM.random() < 0.9 else RANDOM.randrange(min(top, 9)) for _ in range(n)], dtype=np.int64)
+    starts, payload = token_blocks.pack(ids)
+    assert (token_blocks.unpack(starts, payload, n) == ids).all()
+    if n > 300:
+        assert (token_blocks.unpack(starts, payload, n, 1, 2)[:128] == ids[128:256]).all()
+
+
+def test_pieces_give_the_ids_of_the_whole():
+    encoder = token_blocks.Encoder(tokenizer_path())
+    texts = [t or "" for _, t in DOCS] + ["a  b", " a", "a ", "a \n b", "a\n b", "x <|endoftext|> y", "don't 12 a-b!", "\t", "a b c"]
+    assert [list(x) for x in encoder.encode(texts)] == encoder.whole(texts)
+
+
+def test_token_files(spark, docs, none):
+    path = fresh_path(spark, "tokens")
+    token_blocks.write_segments(docs, path, tokenizer_path())
+    want, start = [], 0
+    encoder = token_blocks.Encoder(tokenizer_path())
+    for (i, _), ids in zip(DOCS, encoder.whole([t or "" for _, t in DOCS])):
+        raw = np.array([*ids, 0], "<u4")
+        want.append((i, start, len(raw), zlib.crc32(raw.tobytes())))
+        start += len(raw)
+    assert rows_of(token_blocks.read_documents(spark, path)) == want
+    empty = fresh_path(spark, "tokens")
+    token_blocks.write_segments(none, empty, tokenizer_path())
+    assert token_blocks.read_documents(spark, empty).count() == 0
+
+
+def test_toxicity_learns_and_handles_odd_input(spark, docs, none):
+    rows = [(i, sentence(40) + (" badword" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = df.select("doc_id", "toxic").unionAll(spark.createDataFrame([(None, 1), (1, None), (2, 7)], "doc_id long, toxic int"))
+    model = toxicity.fit(toxicity.labelled(df.where("doc_id < 300"), labels))
+    found = toxicity.score(df, model).join(df, "doc_id").where("doc_id >= 300").collect()
+    assert sum((r["score"] >= 0.5) == (r["toxic"] == 1) for r in found) >= 97
+    scores = [r["score"] for r in toxicity.score(docs, model).collect()]
+    assert len(scores) == len(DOCS) and all(0 <= s <= 1 for s in scores)
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(s < 0.5 for s in scores)
+    empty = toxicity.fit(toxicity.labelled(none, labels))
+    assert {round(r["score"], 3) for r in toxicity.score(docs, empty).collect()} == {0.5}
+    assert toxicity.score(none, model).count() == 0

@@ -81,22 +81,20 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 def clean_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, hit words taken out of their texts with what stands before them."""
     judged = contamination(docs, benchmark, window)
-    raw = text_of()
     letters = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    words = F.regexp_extract_all(raw, F.lit(letters), F.lit(0))
-    between = F.split(raw, letters)
-    kept = F.array_join(
-        F.transform(
-            words,
-            lambda w, i: F.when(F.array_contains(F.col("hit_words"), i + 1), F.lit("")).otherwise(
-                F.concat(F.get(between, i), w)
-            ),
+    # Columns of their own, so that they are not worked out again for every word.
+    parted = judged.withColumn("_w", F.regexp_extract_all(text_of(), F.lit(letters), F.lit(0))).withColumn(
+        "_gaps", F.split(text_of(), letters)
+    )
+    left = F.transform(
+        "_w",
+        lambda w, i: F.when(F.array_contains("hit_words", i + 1), F.lit("")).otherwise(
+            F.concat(F.get("_gaps", i), w)
         ),
-        "",
     )
-    rest = F.get(between, F.size(words))
-    text = F.when(F.size("hit_words") == 0, F.col("text")).otherwise(F.concat(kept, F.coalesce(rest, F.lit(""))))
-    return judged.withColumn("text", text).select(docs.columns)
+    rest = F.coalesce(F.get("_gaps", F.size("_w")), F.lit(""))
+    text = F.when(F.size("hit_words") == 0, F.col("text")).otherwise(F.concat(F.array_join(left, ""), rest))
+    return parted.withColumn("text", text).select(docs.columns)
 
 
 def _starts(words: Column, n_words: int) -> Column:
