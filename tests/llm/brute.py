@@ -68,3 +68,20 @@ def jaccard_classes(docs):
 
 def near_counts(fingerprints, radius):
     return {a: sum(bin((a ^ b) & (2**64 - 1)).count("1") <= radius for b in fingerprints) for a in set(fingerprints)}
+
+
+def water_fill(sizes, weights, share, max_epochs):
+    """Target of each source by sharing again, round by round, what capped sources cannot give."""
+    caps = [max_epochs * s for s in sizes]
+    target, free, left = [0.0] * len(sizes), set(range(len(sizes))), share * sum(sizes)
+    while free:
+        level = left / sum(weights[i] for i in free)
+        over = {i for i in free if level * weights[i] > caps[i]}
+        if not over:
+            for i in free:
+                target[i] = level * weights[i]
+            break
+        for i in over:
+            target[i], left = caps[i], left - caps[i]
+        free -= over
+    return target

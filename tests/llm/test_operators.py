@@ -208,6 +208,23 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+@pytest.mark.parametrize(
+    "sizes, weights",
+    [
+        ([300, 100, 200], (3, 1, 2)),
+        ([50] * 10, (1,)),
+        ([60] * 7, (3, 1, 2)),
+        ([0, 10, 10, 400, 400, 900], (1,)),
+        ([30, 10, 20, 900, 300, 600, 5], (3, 1, 2)),
+    ],
+)
+def test_targets_of_tied_sources(spark, sizes, weights):
+    rows = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "source string, size long")
+    got = [r["target"] for r in mixing.source_targets(rows, weights, 1.5, 2.0).orderBy("source").collect()]
+    want = brute.water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], 1.5, 2.0)
+    assert got == pytest.approx(want) and sum(got) == pytest.approx(1.5 * sum(sizes))
+
+
 def test_mixing_comes_near_its_targets(spark):
     rows = [(i, " ".join("w" * RANDOM.randint(1, 30)), "hot" if i % 3 else f"s{i % 4}") for i in range(3000)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))

@@ -93,8 +93,10 @@ def source_targets(
         F.sum("weight").over(before), F.lit(0.0)
     )
     ratio = F.col("cap") / F.col("weight")
-    sources = sources.withColumn("level", left / weight_left)
-    level = F.min(F.when(F.col("level") < ratio, F.struct(ratio, F.col("level")))).over(everything)
+    sources = sources.withColumn("level", left / weight_left).withColumn("nth", F.row_number().over(by_ratio))
+    # Levels behind the first uncapped source have caps taken off that are not reached, so among sources of
+    # one ratio the first of the order counts, not the lowest level.
+    level = F.min(F.when(F.col("level") < ratio, F.struct("nth", "level"))).over(everything)
     fill = level.getField("level")
     return sources.withColumn("fill", fill).select(
         "source",
