@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidegate.llm import decontaminate, jaccard_join, kd_shards, mixing, pii, repeats, simhash, token_blocks
-from tidegate.llm import toxicity, url_cascade
+from tidegate.llm import queries, toxicity, url_cascade
 from tidegate.llm.components import components
 from tidegate.llm.queries import SHARD_DIMS, URL_RULES, tokenizer_path
 from tidegate.storage import fresh_path, stage
@@ -104,6 +104,38 @@ def test_permuted_tables_find_all_within_the_radius(spark):
     assert got == brute.near_counts(signed, simhash.RADIUS)
 
 
+def test_near_copies_are_found_with_their_ids(spark):
+    base = [sentence(200) for _ in range(40)]
+    rows = list(enumerate(base))
+    for i, text in enumerate(base):
+        words = text.split()
+        for at in RANDOM.sample(range(5, 195), 1 + i % 3):
+            words[at] = "changed"
+        rows.append((1000 + i, " ".join(words)))
+    df = spark.createDataFrame([*rows, (2000, base[0])], "doc_id long, text string")
+    found = stage(simhash.compare_with_edits(df), "simhash-near").frame
+    asked = found.where("doc_id < 1000")
+    pairs = simhash.near_pairs(asked, found)
+    one, other = asked.select("doc_id", "fp"), found.select(F.col("doc_id").alias("near_id"), F.col("fp").alias("near_fp"))
+    ids = {(r["doc_id"], r["near_id"]) for r in pairs.join(one, "fp").join(other, "near_fp").collect()}
+    fps = {r["doc_id"]: r["fp"] for r in found.collect()}
+    apart = {(a, b): bin((fps[a] ^ fps[b]) & (2**64 - 1)).count("1") for a in range(40) for b in fps}
+    assert ids == {p for p, bits in apart.items() if bits <= simhash.RADIUS} and (0, 2000) in ids
+    assert sum((i, 1000 + i) in ids for i in range(40)) >= 38
+
+
+def test_simhash_query_names_the_neighbours(spark, tmp_path):
+    text = sentence(200)
+    words = text.split()
+    words[100] = "changed"
+    rows = [(0, text), (1, " ".join(words)), (50, text), (51, sentence(200)), (None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op2_simhash(spark, str(tmp_path)).collect()}
+    want = sorted({got[0]["fingerprint"], got[1]["fingerprint"]})
+    assert got[0]["near_fingerprints"] == want and got[0]["n_near"] == got[50]["n_near"] == 3
+    assert [got[i]["near_fingerprints"] for i in (1, 50, 51, None)] == [None] * 4
+
+
 ITEMS = [(1, " ".join(DOCS[16][1].split()[60:80])), (20, " ".join(DOCS[16][1].split()[65:95])), (3, "One two"), (None, "ein"), (5, None), (6, "")]
 
 

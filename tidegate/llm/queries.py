@@ -37,8 +37,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).frame
     asked = found.where(F.col("doc_id") % 50 == 0)
     counts = simhash.near(asked, found)
-    searched = asked.join(counts, "fp").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "n_near")
-    searched = searched.groupBy("_id", "_fp").agg(F.max("n_near").alias("n_near"))
+    # The neighbours of a fingerprint stand beside the first of its query documents; rows of equal texts
+    # would each repeat them.
+    first = asked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    searched = asked.select("doc_id", "fp").distinct().join(first, "fp").join(counts, "fp")
+    searched = searched.select(
+        F.col("doc_id").alias("_id"),
+        F.col("fp").alias("_fp"),
+        "n_near",
+        F.when(F.col("doc_id") == F.col("first_id"), F.col("near_fps")).alias("near_fps"),
+    )
     return found.join(
         searched, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")), "left"
     ).select(
@@ -50,6 +58,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
         "n_near",
+        F.array_sort(F.transform("near_fps", simhash.hex_of)).alias("near_fingerprints"),
     )
 
 
