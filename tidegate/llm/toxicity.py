@@ -1,19 +1,20 @@
-"""Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
+"""Toxicity by naive Bayes word scores over character n-grams, weighed by a logistic regression on five numbers.
+
+This is not a linear classifier over n-grams scaled by log-count ratios: no weight of a single n-gram is
+learned beside its ratio.
 
 Features are character n-grams of the distinct words of a text, lower-cased, each word with its ends
-marked: a feature counts in how many distinct words it stands.  They are hashed to ``2**BITS`` columns.
+marked, so repeats do not count and no n-gram crosses a space: a toxic phrase of ordinary words is not seen.
+They are hashed to ``2**BITS`` columns.
 
 1. Over all labelled training rows, tasks count in how many documents of either label each column is seen;
    the sums (two numbers a column) come to the driver and give the log-count ratios ``r``.
-2. A logistic regression is fitted on the columns times ``r``, over at most ``FIT_ROWS`` training rows of
-   each label, those with the smallest hashes of their ids.  This is the documented bound of the fit; the
-   ratios, and all scores, cover all rows.
+2. A word scores the mean ``r`` of its columns.  A text is reduced to its ``TOP`` highest word scores, the
+   logarithm of one plus the sum of what is above 1.0, and the mean.  A logistic regression is fitted on these five,
+   over at most ``FIT_ROWS`` training rows of each label, those with the smallest hashes of their ids and
+   texts.  This is the documented bound of the fit; the ratios, and all scores, cover all rows.
 3. Every document is scored.
 
-A document's columns are weighed by its evidence: the score sums the word scores of each sign apart, as
-the sum of neutral words of a long text would drown a few that are not.  The regression learns how the
-strongest words, their sum and the mean of all words count.
-
 Labels other than 0 and 1 are left out; a document with several label rows counts with each.  NULL and
 empty texts have no words and get the intercept's score.  Without training rows of both labels every score
 is the share of label 1, or 0.5.  Ids are compared as text.  Columns of the input beside ``doc_id`` and
