@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -85,3 +87,61 @@ def water_fill(sizes, weights, share, max_epochs):
             target[i], left = caps[i], left - caps[i]
         free -= over
     return target
+
+
+def rebuilt_conversations(rows):
+    """{conv_id: [(role, text), ..]} of (conv_id, turn, role, text) rows, heads taken from the first of five."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts, key=lambda t: t[:2] if t[0] else (False, 0))] for c, ts in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(math.fmod(c, 5))  # the remainder has the sign of c, as in SQL
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def trie(rows):
+    """One tuple a node: conv_id, depth, parent, members, children, leaves, saved, hash of the ids that end there."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in rebuilt_conversations(rows).items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+
+    def totals(node):
+        below = [totals(x) for x in children[node]]
+        saved = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        return sum(b[0] for b in below) or 1, saved + sum(b[1] for b in below)
+
+    out = []
+    for node, ids in members.items():
+        parent = min(members[node[:-1]]) if node else None
+        digest = hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest()
+        out.append((min(ids), len(node), parent, len(ids), len(children[node]), *totals(node), digest))
+    return sorted(out, key=lambda r: r[:2])
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def filled_in(doc_id, text, seed=42, rate=50, spm_rate=80):
+    """(n, form, prefix length, middle length, output) of one text."""
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    units = UNIT.findall(text)
+    one, two = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:one], units[one:two], units[two:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < spm_rate:
+        return len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import (
     decontaminate,
+    fill_in_middle,
     jaccard_join,
     kd_shards,
     mixing,
     pii,
+    prefix_trie,
     repeats,
     simhash,
     token_blocks,
@@ -155,6 +157,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    trie = prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
+    ends = prefix_trie.id_lists_sha256(trie.ends, "end", "conv_id")
+    return trie.nodes.join(ends, "end", "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_documents(spark, sf_dir, "doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_merge": op1_suffix_merge,
     "op2_simhash": op2_simhash,
@@ -166,5 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kd_shards": op8_kd_shards,
     "op9_token_blocks": op9_token_blocks,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE: dict[str, str] = {}
