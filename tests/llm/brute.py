@@ -48,11 +48,11 @@ def contamination(docs, items, window):
     return out
 
 
-def jaccard_classes(docs):
+def jaccard_classes(docs, size=5):
     sets = {}
     for i, text in docs:
         words = (text or "").encode().lower().split()
-        sets[i] = {tuple(words[s : s + 5]) for s in range(max(1, len(words) - 4))} if words else set()
+        sets[i] = {tuple(words[s : s + size]) for s in range(max(1, len(words) - size + 1))} if words else set()
     group = {i: i for i in sets}
 
     def find(x):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tidegate.llm import fill_in_middle, prefix_trie, queries
+from tidegate.llm import common, fill_in_middle, minhash, prefix_trie, queries
 from tidegate.storage import stage
 
 RANDOM = random.Random(11)
@@ -54,8 +54,8 @@ def test_trie(spark, tmp_path):
 
 
 def test_trie_with_hot_prefixes(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "HOT_ITEMS", 5)
-    monkeypatch.setattr(prefix_trie, "HOT_SHARE", 20)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_SHARE", 20)
     monkeypatch.setattr(prefix_trie, "TURNS_A_KEY", 3)
     rows = [(c, t, "user", "start" if t < 3 else f"{c % 40} {t}") for c in range(120) for t in range(3 + c % 6)]
     assert trie_of(spark, rows, tmp_path) == brute.trie(rows)
@@ -113,3 +113,68 @@ def test_fill_in_middle_in_small_runs(spark, monkeypatch):
     df = stage(spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string"), "fim").frame
     always = fill_in_middle.fill_in_middle(df, seed=1, rate=100, spm_rate=0).collect()
     assert {(r["form"], r["n"]) for r in always} == {("psm", 3), ("plain", 0)}
+
+
+def copies_corpus(families=6, members=14, words=90):
+    """Families of edited copies of one text, copies, short texts, chains, and texts alike to 0.6 to 0.79."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [None, "", "  ", "A", "a", "a b c", "A B C", "a b c d", "a b c d e", "a b c e"]
+    for _ in range(families):
+        base = RANDOM.choices(vocabulary, k=words)
+        texts.append(" ".join(base))
+        for m in range(members):
+            edited = list(base)
+            for at in RANDOM.sample(range(words), RANDOM.randint(0, 5)):
+                edited[at] = RANDOM.choice(vocabulary)
+            texts.append("  ".join(edited).upper() if m % 5 == 0 else "\n".join(edited))
+    words_now = RANDOM.choices(vocabulary, k=60)
+    for step in range(12):
+        words_now = [*words_now[1:], f"step{step}"]
+        texts.append(" ".join(words_now))
+    texts += [" ".join(RANDOM.choices(vocabulary, k=RANDOM.randint(1, 9))) for _ in range(60)]
+    texts += [" ".join(RANDOM.choices("xyz", k=RANDOM.randint(1, 9))) for _ in range(60)]
+    RANDOM.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_minhash_components(spark, tmp_path, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(common, "HOT_ROWS", 3)
+        monkeypatch.setattr(common, "HOT_SHARE", 50)
+    docs = copies_corpus(6 if hot else 12, 14, 90)
+    path = str(tmp_path / "documents.parquet")
+    schema = "doc_id long, text string, n int, cid string, band int"
+    rows = [(i, t, 1, "x", 2) for i, t in docs] + [(None, docs[20][1], 1, "x", 2), (5, docs[5][1], 1, "x", 2)]
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(path)
+    got = rows_of(queries.op12_minhash_dedup(spark, str(tmp_path)))
+    want = [(i, n, g, i == g) for i, n, g in brute.jaccard_classes(docs, 4)]
+    again = next(r for r in want if r[0] == 5)
+    nobody = [r for r in got if r[0] is None]
+    assert [r for r in got if r[0] is not None] == sorted([*want, again], key=lambda r: [(v is None, str(v)) for v in r])
+    assert len(nobody) == 1 and nobody[0][2:] == (None, None)
+    assert len({r[2] for r in want}) < len(want) - 60
+
+
+def test_minhash_of_an_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string").where("false")
+    assert minhash.near_duplicates(docs).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert rows_of(minhash.near_duplicates(blank)) == [(1, 0, 1, True), (2, 0, 2, True)]
+    kept = minhash.first_of_each(spark.createDataFrame([(2, "x y", 1), (1, "X Y", 2), (3, "z", 3)], "doc_id long, text string, kept int"))
+    assert rows_of(kept) == [(1, "X Y", 2), (3, "z", 3)]
+
+
+def test_rows_of_one_doc_id_with_two_texts_are_apart(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "x y z"), (2, "x y z"), (3, "a b c")], "doc_id long, text string")
+    assert rows_of(minhash.near_duplicates(df)) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+def test_minima_estimate_the_similarity():
+    import numpy as np
+
+    one = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    two = np.concatenate([one[100:], one[:100] + np.uint64(1)])
+    values = minhash.minima(np.concatenate([one, two]), np.array([0, 1000]))
+    agree = (values[0] == values[1]).mean()
+    assert abs(agree - 900 / 1100) < 0.16

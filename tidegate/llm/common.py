@@ -31,6 +31,27 @@ def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: Keys that have over one in so many of all rows are joined by broadcast; so there are fewer than so many.
+HOT_SHARE = 1000
+#: Below so many rows, no key is worth it.
+HOT_ROWS = 10_000
+
+
+def join_hot(rows: DataFrame, sides: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the one row of ``sides`` for their keys; ``times`` of a side is how many rows it has.
+
+    Keys with over ``1 / HOT_SHARE`` of all rows, which are fewer than ``HOT_SHARE``, don't go through a shuffle.
+    """
+    size = sides.agg(F.sum("times").alias("all"), F.max("times").alias("most")).first()
+    limit = max(HOT_ROWS, (size["all"] or 0) // HOT_SHARE)
+    if (size["most"] or 0) <= limit:
+        return rows.join(sides.drop("times"), keys)
+    hot = F.broadcast(sides.where(F.col("times") > limit).drop("times"))
+    cold = sides.where(F.col("times") <= limit).drop("times")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def tasks(spark: SparkSession, times: int = 1) -> int:
     return times * int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -36,13 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import tasks, text_of
+from tidegate.llm.common import join_hot, tasks, text_of
 from tidegate.storage import Staged, stage
 
-#: Keys that have over this share of all items are joined by broadcast; so there are at most so many.
-HOT_SHARE = 1000
-#: Below so many items, no key is worth it.
-HOT_ITEMS = 10_000
 #: So many turns of one conversation share a join key.
 TURNS_A_KEY = 4096
 #: Lists of ids are put together in pieces of so many ids.
@@ -246,13 +242,13 @@ def _cut(items: DataFrame, halves: DataFrame) -> tuple[Cut, Staged]:
             F.sum("n").alias("n"),
             F.min("least").alias("upper"),
             F.max(F.when(F.col("second").isNull(), F.col("end"))).alias("end"),
-            F.count(F.lit(1)).alias("items"),
+            F.count(F.lit(1)).alias("times"),
         ),
         "trie-upper",
     )
     keys = ["block", "tree", "first"]
     paths = stage(
-        _join_hot(both.frame.select(*keys, "least", "second", "n", "end"), upper.frame.select(*keys, "upper", "items"), keys),
+        join_hot(both.frame.select(*keys, "least", "second", "n", "end"), upper.frame.select(*keys, "upper", "times"), keys),
         "trie-paths",
     )
     both.release()
@@ -266,21 +262,6 @@ def _cut(items: DataFrame, halves: DataFrame) -> tuple[Cut, Staged]:
     return Cut(upper.frame.select("block", "tree", "upper"), links), stage(above.unionAll(below), "trie-items")
 
 
-def _join_hot(rows: DataFrame, sides: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with the one row of ``sides`` for their keys; ``items`` of a side is its number of rows.
-
-    Keys with over ``1 / HOT_SHARE`` of all rows, which are fewer than ``HOT_SHARE``, don't go through a shuffle.
-    """
-    size = sides.agg(F.sum("items").alias("all"), F.max("items").alias("most")).first()
-    limit = max(HOT_ITEMS, (size["all"] or 0) // HOT_SHARE)
-    if (size["most"] or 0) <= limit:
-        return rows.join(sides.drop("items"), keys)
-    hot = F.broadcast(sides.where(F.col("items") > limit).drop("items"))
-    cold = sides.where(F.col("items") <= limit).drop("items")
-    rest = rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
-    return rows.join(hot, keys).unionByName(rest)
-
-
 def _with_values(items: DataFrame) -> DataFrame:
     """Nodes with what they add to the totals of the trees above them."""
     children = items.groupBy(F.col("block").alias("below"), F.col("tree").alias("least")).agg(

@@ -12,6 +12,7 @@ from tidegate.llm import (
     fill_in_middle,
     jaccard_join,
     kd_shards,
+    minhash,
     mixing,
     pii,
     prefix_trie,
@@ -173,6 +174,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_in_middle.fill_in_middle(_documents(spark, sf_dir, "doc_id", "text"))
     return made.select(
@@ -198,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_blocks": op9_token_blocks,
     "op10_toxicity": op10_toxicity,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE: dict[str, str] = {}
