@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.plans import plan_of
-from tidegate.operators.merge import KeyProfile, merge_insert, merged, new_rows, profile_keys
+from tidegate.operators import merge
+from tidegate.operators.merge import merge_insert, merged, new_rows, normal_forms, possible_hits, profile_keys
 from tidegate.plans.queries import register, unique
 from tidegate.sources import TableColumn
 from tidegate.storage import fresh_path
@@ -58,8 +59,7 @@ ROWS = st.lists(st.tuples(KEYS, st.sampled_from("ab")), max_size=30)
 @given(ROWS, ROWS)
 def test_any_key_sets_on_every_path(spark, source, target):
     s, t = make(spark, source).repartition(3), make(spark, target)
-    hot = profile_keys(s, ["k"], hot_share=0.0, hot_rows=3)
-    for options in (*PATHS.values(), {"broadcast_bytes": 0, "profile": hot}):
+    for options in (*PATHS.values(), {"broadcast_bytes": 0, "hot_share": 0.0, "hot_rows": 3, "key_filter": False}):
         got = new_rows(s, t, ["k"], **options)
         assert Counter(map(tuple, got.collect())) == want(source, target), options
 
@@ -81,15 +81,13 @@ def test_profile_finds_hot_keys(spark):
 def test_rows_of_hot_keys_are_not_shuffled(spark, known):
     source = skewed(spark)
     target = spark.createDataFrame([(k,) for k in known for _ in range(3)], "k long")
-    profile = profile_keys(source, ["k"], hot_rows=1000)
+    options = {"broadcast_bytes": 0, "key_filter": False}
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        plain = new_rows(
-            source, target, ["k"], broadcast_bytes=0, profile=KeyProfile(30000, 10**9, ())
-        ).withColumn("task", F.spark_partition_id())
-        split = new_rows(source, target, ["k"], broadcast_bytes=0, profile=profile).withColumn(
+        plain = new_rows(source, target, ["k"], **options).withColumn("task", F.spark_partition_id())
+        split = new_rows(source, target, ["k"], hot_rows=1000, **options).withColumn(
             "task", F.spark_partition_id()
         )
         assert plain.drop("task").exceptAll(split.drop("task")).count() == 0
@@ -139,20 +137,91 @@ def test_merged_frame_and_mismatched_columns(spark):
         merged(spark.createDataFrame([(2, "x")], "k int, other string"), target, ["k"])
 
 
-TYPES = [("int", "long"), ("decimal(10,2)", "decimal(12,4)"), ("string", "int"), ("long", "string")]
+TYPES = [
+    ("int", "long"), ("decimal(10,2)", "decimal(12,4)"), ("string", "int"), ("long", "string"),
+    ("decimal(38,0)", "decimal(38,18)"), ("decimal(38,18)", "long"), ("double", "long"), ("short", "float"),
+    ("float", "double"), ("tinyint", "decimal(38,38)"),
+]
+WAYS = {
+    "broadcast": {},
+    "shuffle": {"broadcast_bytes": 0, "key_filter": False},
+    "filter": {"broadcast_bytes": 0},
+    "hot": {"broadcast_bytes": 0, "hot_share": 0.0, "hot_rows": 5},
+}
 
 
-@pytest.mark.parametrize("how", ["broadcast", "shuffle", "hot"])
+@pytest.mark.parametrize("how", WAYS)
 @pytest.mark.parametrize("one,two", TYPES)
 def test_keys_of_two_types_meet_on_every_path(spark, how, one, two):
-    source = spark.createDataFrame([("1",)] * 10 + [("2",)], "k string").select(F.col("k").cast(one))
-    target = spark.createDataFrame([("1",)], "k string").select(F.col("k").cast(two))
-    options = {"broadcast": {}, "shuffle": {"broadcast_bytes": 0}, "hot": {"broadcast_bytes": 0}}[how]
-    if how == "hot":
-        common = new_rows(source, target.limit(0), ["k"])
-        options["profile"] = profile_keys(common, ["k"], hot_share=0.0, hot_rows=5)
-    got = [float(r["k"]) for r in new_rows(source, target, ["k"], **options).collect()]
-    assert got == [2.0]
+    known, new = ("0", "-0.5") if two == "decimal(38,38)" else ("1", "2")
+    source = spark.createDataFrame([(known,)] * 10 + [("2",)], "k string").select(F.col("k").cast(one))
+    target = spark.createDataFrame([(known,), (None,)], "k string").select(F.col("k").cast(two))
+    got = [float(r["k"]) for r in new_rows(source, target, ["k"], **WAYS[how]).collect()]
+    assert got == [2.0] and new
+
+
+UNLIKE = [
+    ("decimal(38,0)", "2", "decimal(38,18)", "1.5"),
+    ("decimal(38,0)", "-2", "decimal(38,18)", "-1.5"),
+    ("decimal(38,18)", "1.000000000000000001", "decimal(38,0)", "1"),
+    ("decimal(10,1)", "0.1", "decimal(10,2)", "0.11"),
+    ("long", "9007199254740993", "double", "9007199254740992"),
+    ("double", "1.5", "int", "1"),
+    ("double", "1e300", "long", "9223372036854775807"),
+    ("long", "9223372036854775807", "double", "9223372036854775807"),
+    ("string", "01", "int", "1"),
+    ("float", "0.1", "double", "0.1"),
+]
+
+
+@pytest.mark.parametrize("how", WAYS)
+@pytest.mark.parametrize("one,a,two,b", UNLIKE)
+def test_unlike_keys_of_two_types_do_not_meet(spark, how, one, a, two, b):
+    source = spark.createDataFrame([(a,)] * 6, "k string").select(F.col("k").cast(one))
+    target = spark.createDataFrame([(b,)], "k string").select(F.col("k").cast(two))
+    assert new_rows(source, target, ["k"], **WAYS[how]).count() == 6
+
+
+@pytest.mark.parametrize("one,two", [("decimal(10,2)", "double"), ("boolean", "int"), ("array<int>", "string"), ("date", "int")])
+def test_types_without_a_lossless_form_are_refused(spark, one, two):
+    kinds = [spark.range(0).select(F.lit(None).cast(t).alias("k")).schema["k"].dataType for t in (one, two)]
+    with pytest.raises(ValueError):
+        normal_forms(*kinds)
+
+
+def test_only_possible_hits_of_the_target_are_shuffled(spark):
+    source = spark.range(0, 3000, 3).select(F.col("id").alias("k"))
+    target = spark.range(0, 200000, 1, 4).select(F.col("id").alias("k"))
+    left = possible_hits(target, source, ["k"])
+    hits = target.join(source, "k").count()
+    assert left.join(source, "k").count() == hits == 1000
+    assert left.count() <= hits + 50
+    options = {"broadcast_bytes": 0}
+    for wanted in (source, source.limit(0), source.unionAll(spark.createDataFrame([(None,), (-5,)], "k long"))):
+        with_filter = new_rows(wanted, target.where("k % 2 = 0"), ["k"], **options)
+        without = new_rows(wanted, target.where("k % 2 = 0"), ["k"], key_filter=False, **options)
+        assert sorted(map(str, with_filter.collect())) == sorted(map(str, without.collect()))
+    plan = plan_of(with_filter)
+    assert "bit_or" in plan and "BroadcastHashJoin" in plan
+
+
+def test_a_source_too_large_for_the_filter_does_without(spark, monkeypatch):
+    monkeypatch.setattr(merge, "FILTER_BITS", 64)
+    source, target = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
+    got = new_rows(source, target, ["k"], broadcast_bytes=0)
+    assert "bit_or" not in plan_of(got) and got.count() == 50
+
+
+def test_the_keys_are_measured_while_the_source_is_staged(spark, monkeypatch):
+    table = register(
+        spark, "tidegate_test", unique("seen"), fresh_path(spark, "seen"), [TableColumn("k", "bigint")]
+    )
+    asked = []
+    monkeypatch.setattr(merge, "profile_keys", lambda *a: asked.append(a) or profile_keys(*a))
+    merge_insert(spark, spark.range(10).withColumnRenamed("id", "k"), table, ["k"])
+    assert not asked and spark.table(table).count() == 10
+    merge_insert(spark, spark.range(20).withColumnRenamed("id", "k"), table, ["k"], broadcast_bytes=0)
+    assert len(asked) == 1 and spark.table(table).count() == 20
 
 
 def test_inserts_make_few_files(spark):

@@ -6,18 +6,24 @@ from pyspark.sql import functions as F
 from tests.plans import plan_of
 from tidegate.operators.maintenance import stored_files
 from tidegate.operators.quality import OUTCOME_SCHEMA, STORED_OUTCOME_SCHEMA, stamp_outcomes
+from tidegate.operators import sinks
 from tidegate.operators.sinks import (
+    add_partitions,
     balanced,
+    fold_keyed,
     keyed_text,
     latest_by_key,
+    put_keyed,
     read_keyed,
     stamped,
-    upsert_keyed,
     write_outcomes,
     write_partitioned,
 )
+from tidegate.plans.queries import register, unique
+from tidegate.sources import TableColumn
 from tidegate.storage import fresh_path
 
+DAY1, DAY2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 AS_OF = datetime(2024, 2, 1, 12, 30, 15, 123456)
 
 
@@ -135,7 +141,7 @@ def test_latest_by_key(spark):
     assert rows(latest_by_key(df, ["K"], ["at"]), "k", "v") == [("a", "y"), ("b", "q"), (None, "m")]
 
 
-def test_upsert_replaces_whole_rows(spark):
+def test_a_put_replaces_whole_rows(spark):
     path = fresh_path(spark, "keyed")
     first = spark.createDataFrame(
         [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "n")], "k int, at int, v string"
@@ -143,37 +149,86 @@ def test_upsert_replaces_whole_rows(spark):
     second = spark.createDataFrame(
         [(2, 0, None), (3, 9, "d"), (None, 1, "o")], "k int, at int, v string"
     )
-    upsert_keyed(first, path, ["K"], ["at"])
-    assert rows(read_keyed(spark, path), "k", "at", "v") == [
-        ("1", "2", "b"), ("2", "1", "c"), (None, "1", "n"),
-    ]
+    put_keyed(first, path, ["K"], ["at"], DAY1)
+    one = [("1", "2", "b"), ("2", "1", "c"), (None, "1", "n")]
+    assert rows(read_keyed(spark, path, ["K"]), "k", "at", "v") == one
     want = [("1", "2", "b"), ("2", "0", None), ("3", "9", "d"), (None, "1", "o")]
     for _ in range(2):
-        upsert_keyed(second, path, ["K"], ["at"])
-        assert rows(read_keyed(spark, path), "k", "at", "v") == want
+        put_keyed(second, path, ["K"], ["at"], DAY2)
+        assert rows(read_keyed(spark, path, ["k"]), "k", "at", "v") == want
+    assert rows(read_keyed(spark, path, ["k"], as_of=DAY1), "k", "at", "v") == one
 
 
-def test_upsert_keeps_attributes_the_batch_lacks(spark):
+def test_a_late_older_batch_does_not_win(spark):
     path = fresh_path(spark, "keyed")
-    upsert_keyed(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, ["k"], ["v"], 1)
-    upsert_keyed(spark.createDataFrame([(2, "c"), (3, "d")], "k int, w string"), path, ["k"], ["w"], 1)
-    assert rows(read_keyed(spark, path), "k", "v", "w") == [
-        ("1", "a", None), ("2", None, "c"), ("3", None, "d"),
-    ]
+    put_keyed(spark.createDataFrame([(1, "new")], "k int, v string"), path, ["k"], ["v"], DAY2)
+    put_keyed(spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string"), path, ["k"], ["v"], DAY1)
+    assert rows(read_keyed(spark, path, ["k"]), "k", "v") == [("1", "new"), ("2", "old")]
 
 
-def test_upsert_rewrites_only_the_buckets_of_the_batch(spark):
+def test_a_put_writes_only_its_own_rows(spark):
     path = fresh_path(spark, "keyed")
     table = spark.range(1000).select("id", F.lit("old").alias("v"))
-    upsert_keyed(table, path, ["id"], ["v"], buckets=16)
-    before = {r["path"] for r in stored_files(spark, path, ["key_bucket"]).collect()}
-    upsert_keyed(table.where("id = 7").withColumn("v", F.lit("new")), path, ["id"], ["v"], buckets=16)
-    after = {r["path"] for r in stored_files(spark, path, ["key_bucket"]).collect()}
-    assert len(before) == 16 and len(before & after) == 15
-    got = read_keyed(spark, path)
+    put_keyed(table, path, ["id"], ["v"], DAY1)
+    before = {r["path"] for r in stored_files(spark, path, ["key_batch"]).collect()}
+    put_keyed(table.where("id = 7").withColumn("v", F.lit("new")), path, ["id"], ["v"], DAY2)
+    after = {r["path"] for r in stored_files(spark, path, ["key_batch"]).collect()}
+    assert before < after and spark.read.parquet(*(after - before)).count() == 1
+    got = read_keyed(spark, path, ["id"])
     assert got.count() == 1000 and rows(got.where("v = 'new'"), "id") == [("7",)]
 
 
+def test_a_table_does_not_depend_on_the_number_of_tasks(spark):
+    df = spark.range(500).select((F.col("id") % 100).alias("k"), "id", F.col("id").cast("string").alias("v"))
+    found = []
+    for cores in ("8", "16"):
+        path = fresh_path(spark, "keyed")
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", cores)
+        try:
+            put_keyed(df.where("id < 300"), path, ["k"], ["id"], DAY1)
+            put_keyed(df.where("id >= 300 AND k < 50"), path, ["k"], ["id"], DAY2)
+            found.append(rows(read_keyed(spark, path, ["k"]), "k", "id", "v"))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len(found[0]) == 100
+
+
+def test_batches_are_folded_into_a_new_table(spark):
+    path, other = fresh_path(spark, "keyed"), fresh_path(spark, "folded")
+    put_keyed(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, ["k"], ["v"], DAY1)
+    put_keyed(spark.createDataFrame([(2, "c"), (3, "d")], "k int, w string"), path, ["k"], ["w"], DAY2)
+    want = [("1", "a", None), ("2", None, "c"), ("3", None, "d")]
+    assert rows(read_keyed(spark, path, ["k"]), "k", "v", "w") == want
+    fold_keyed(spark, path, other, ["k"], DAY2)
+    assert rows(read_keyed(spark, other, ["k"]), "k", "v", "w") == want
+    assert stored_files(spark, other, ["key_batch"]).select("key_batch").distinct().count() == 1
+
+
+PARTITION_VALUES = ["01", "a:b c+d%", "it's \\ back", "é/x=y", None]
+
+
+def test_written_partitions_are_added_without_a_listing(spark, monkeypatch):
+    path = fresh_path(spark, "added")
+    columns = [TableColumn("id", "bigint"), TableColumn("p", "string", True), TableColumn("d", "date", True)]
+    table = register(spark, "tidegate_test", unique("added"), path, columns)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(PARTITION_VALUES * 3)], "id long, p string")
+    df = df.withColumn("d", F.expr("date_add(DATE'2024-01-01', int(id % 3))"))
+    write_partitioned(df, path, ["p", "d"])
+    monkeypatch.setattr(sinks, "PARTITIONS_A_CALL", 4)
+    for _ in range(2):
+        assert add_partitions(spark, table, df, ["p", "d"]) == 15
+        got = spark.table(table)
+        assert got.count() == 15 and {r["p"] for r in got.collect()} == set(PARTITION_VALUES)
+        assert spark.sql(f"SHOW PARTITIONS {table}").count() == 15
+    more = df.where("p = '01'").withColumn("p", F.lit("02"))
+    write_partitioned(more, path, ["p", "d"])
+    assert spark.table(table).count() == 15
+    assert add_partitions(spark, table, more, ["p", "d"]) == 3 and spark.table(table).count() == 18
+    flat = register(spark, "tidegate_test", unique("flat"), fresh_path(spark, "flat"), columns[:1])
+    assert add_partitions(spark, flat, df, []) == 0
+
+
 def test_keyed_text_folds_before_the_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "ts", "event_id")
     plan = plan_of(keyed_text(df, ["user_id"], ["ts", "event_id"]))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,10 @@ SKETCH_ITEMS = 2000
 SKETCH_TRACKED = 16384
 HOT_SHARE = 1 / SKETCH_ITEMS
 HOT_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Bits of the filter that is sent to the target: 2**20 words of 64.
+FILTER_BITS = 1 << 26
+MOST_DIGITS = 38
 
 
 @dataclass(frozen=True)
@@ -61,39 +65,134 @@ def new_rows(
     source: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
-    profile: KeyProfile | None = None,
-    broadcast_bytes: int = 64 * 1024 * 1024,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    key_bytes: int | None = None,
+    hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
+    key_filter: bool = True,
 ) -> DataFrame:
     """Source rows whose key is not in the target, duplicates and NULL keys included.
 
-    Of the target only the key columns are read, and copies of a key are folded before any shuffle.
-    Keys of both sides are cast to one type first, so that the same key is the same value, and has the
-    same hash, whatever types it comes in; a text and a number meet as texts.  The profile of the source
-    (taken here if not given) decides how the two meet, and never which rows come out.
+    Of the target only the key columns are read, and copies of a key are folded before any shuffle.  Keys of both
+    sides are brought to one lossless form first (``normal_forms``), so equal keys are equal whatever types they come
+    in, and no others are.  A pass over the source's keys decides how the two meet, and never which rows come
+    out; if ``key_bytes`` is known to be small (see ``key_size``), that pass is saved.
     """
     keys = resolve_all(source.columns, keys)
     others = resolve_all(target.columns, keys)
-    names = [f"_key_{i}" for i in range(len(keys))]
-    types = [common_type(source, k, target, o) for k, o in zip(keys, others)]
-    keyed = source.withColumns({n: F.col(quoted(k)).cast(t) for n, k, t in zip(names, keys, types)})
-    known = target.select([F.col(quoted(o)).cast(t).alias(n) for n, o, t in zip(names, others, types)])
-    profile = profile or profile_keys(keyed, names)
-    if profile.key_bytes <= broadcast_bytes:
+    ours, theirs = [], []
+    for key, other in zip(keys, others):
+        one, two = normal_forms(source.schema[key].dataType, target.schema[other].dataType)
+        ours += one(F.col(quoted(key)))
+        theirs += two(F.col(quoted(other)))
+    names = [f"_key_{i}" for i in range(len(ours))]
+    keyed = source.withColumns(dict(zip(names, ours)))
+    known = target.select([c.alias(n) for n, c in zip(names, theirs)])
+    profile = None
+    if key_bytes is None or key_bytes > broadcast_bytes:
+        profile = profile_keys(keyed, names, hot_share, hot_rows)
+        key_bytes = profile.key_bytes
+    if key_bytes <= broadcast_bytes:
         joined = _by_broadcast(keyed, known, names)
     else:
+        if key_filter and profile.rows <= FILTER_BITS // 4:
+            known = possible_hits(known, keyed, names)
         joined = _by_shuffle(keyed, known, names, profile.hot_hashes)
     return joined.select([F.col(quoted(c)) for c in source.columns])
 
 
-def common_type(source: DataFrame, key: str, target: DataFrame, other: str) -> T.DataType:
-    """The type both sides of a key are compared in."""
-    one, two = source.schema[key].dataType, target.schema[other].dataType
-    if one == two:
-        return one
-    if isinstance(one, T.StringType) or isinstance(two, T.StringType):
-        return T.StringType()
-    both = F.coalesce(F.lit(None).cast(one), F.lit(None).cast(two))
-    return source.sparkSession.range(0).select(both.alias("k")).schema["k"].dataType
+def normal_forms(one: T.DataType, two: T.DataType) -> tuple[NormalForm, NormalForm]:
+    """For each of two types, how its values become key columns that are equal if and only if the values are.
+
+    Whole numbers meet as longs.  Decimals (and whole numbers) meet in a decimal that holds the digits of both, or,
+    where none does, as whole part and fraction.  A double meets whole numbers as a long if it is one, and else
+    meets nothing.  A text meets numbers, dates and the like as their text.  Types without a form that loses nothing,
+    such as a decimal and a double, are refused.
+    """
+    if one == two or (isinstance(one, T.StringType) and isinstance(two, T.StringType)):
+        return _as_is, _as_is
+    kinds = {type(one), type(two)}
+    if kinds <= set(_WHOLE_DIGITS):
+        return _cast(T.LongType()), _cast(T.LongType())
+    if kinds <= {*_WHOLE_DIGITS, T.DecimalType}:
+        (whole_1, scale_1), (whole_2, scale_2) = _digits(one), _digits(two)
+        whole, scale = max(whole_1, whole_2), max(scale_1, scale_2)
+        if whole + scale <= MOST_DIGITS:
+            return _cast(T.DecimalType(whole + scale, scale)), _cast(T.DecimalType(whole + scale, scale))
+        return _whole_and_fraction(one, scale), _whole_and_fraction(two, scale)
+    if kinds == {T.FloatType, T.DoubleType}:
+        return _cast(T.DoubleType()), _cast(T.DoubleType())
+    if kinds <= {*_WHOLE_DIGITS, T.FloatType, T.DoubleType}:
+        return tuple(_cast(T.LongType()) if type(t) in _WHOLE_DIGITS else _long_if_whole for t in (one, two))
+    if kinds == {T.DateType, T.TimestampType}:
+        return _cast(T.TimestampType()), _cast(T.TimestampType())
+    if kinds == {T.StringType, T.BinaryType}:
+        return _cast(T.BinaryType()), _cast(T.BinaryType())
+    if T.StringType in kinds and not kinds & {T.ArrayType, T.MapType, T.StructType, T.VariantType}:
+        return _cast(T.StringType()), _cast(T.StringType())
+    raise ValueError(
+        f"keys of type {one.simpleString()} and {two.simpleString()} have no common form that loses nothing: "
+        "cast one side"
+    )
+
+
+NormalForm = Callable[[Column], list[Column]]
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _as_is(key: Column) -> list[Column]:
+    return [key]
+
+
+def _cast(kind: T.DataType) -> NormalForm:
+    return lambda key: [key.cast(kind)]
+
+
+def _digits(kind: T.DataType) -> tuple[int, int]:
+    """Digits before and after the point."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    return _WHOLE_DIGITS[type(kind)], 0
+
+
+def _whole_and_fraction(kind: T.DataType, scale: int) -> NormalForm:
+    """Both parts have the sign of the number; a remainder of decimals is exact."""
+    whole, own_scale = _digits(kind)
+
+    def parts(key: Column) -> list[Column]:
+        exact = key.cast(T.DecimalType(whole + own_scale, own_scale))
+        rest = exact % F.lit(1).cast(T.DecimalType(1, 0))
+        down = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
+        return [down.cast(T.DecimalType(MOST_DIGITS, 0)), rest.cast(T.DecimalType(MOST_DIGITS, scale))]
+
+    return parts
+
+
+def _long_if_whole(key: Column) -> list[Column]:
+    """The number as a long, if it is one: every double is exact, but not every long is a double."""
+    value = key.cast("double")
+    fits = (value == F.floor(value)) & (value >= -(2.0**63)) & (value < 2.0**63)
+    return [F.when(fits, value.try_cast("long"))]
+
+
+def key_size(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Bytes that the keys of a row take in a broadcast table, for a sum over the rows."""
+    return _key_size(df, resolve_all(df.columns, keys))
+
+
+def possible_hits(known: DataFrame, source: DataFrame, keys: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``known`` that may have a key of ``source``: all that have one, and few others.
+
+    A Bloom filter of one hash: the bits that the source's keys set are made by an aggregation, as words of 64, and
+    broadcast.  There are at most ``bits / 64`` of those, whatever the source holds.  The target's rows look their
+    word up where they are read, so only possible hits of a large target are shuffled.
+    """
+    place = F.pmod(key_hash(keys), F.lit(bits))
+    word = F.shiftright(place, 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    mask = source.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_mask"))
+    looked_up = known.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(mask), "_word")
+    return looked_up.where(F.col("_mask").bitwiseAND(F.col("_bit")) != 0).select([F.col(k) for k in keys])
 
 
 def _by_broadcast(source: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
@@ -133,14 +232,20 @@ def merge_insert(
 ) -> None:
     """Append the new rows of ``source`` to a catalog table, columns matched by name.
 
-    The source is looked at more than once, so it is staged first; turn that off for one that is a
-    plain scan.  Rows are only added, so a run that is repeated after it succeeded adds nothing.
+    The source is looked at more than once, so it is staged first, and its keys are measured on the way; turn
+    that off for one that is a plain scan.  Rows are only added, so a run that is repeated after it succeeded
+    adds nothing.
     """
     table = quoted_table(table)
     target = spark.table(table)
-    held = stage(source, "merge") if staged else None
+    held = None
     try:
-        fresh = new_rows(held.frame if held else source, target, keys, **options)
+        if staged:
+            measured = Observation()
+            held = stage(source.observe(measured, F.sum(key_size(source, keys)).alias("key_bytes")), "merge")
+            source = held.frame
+            options.setdefault("key_bytes", measured.get["key_bytes"] or 0)
+        fresh = new_rows(source, target, keys, **options)
         rows = balanced(aligned(fresh, target), partition_columns(spark, table))
         rows.write.insertInto(table, overwrite=False)
     finally:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -12,7 +13,6 @@ from tidegate.functions.dates import stamp_literal
 from tidegate.functions.keys import as_text
 from tidegate.functions.names import quoted, quoted_table, resolve, resolve_all
 from tidegate.sources.schema import partition_columns
-from tidegate.storage import Staged, path_has_files, stage
 
 # Fixed values of the written tables.
 STAMP_COLUMN = "last_update_date"
@@ -20,8 +20,9 @@ MAX_RECORDS_PER_FILE = 5_000_000
 CODEC = "zstd"
 OUTCOME_PARTITIONS = ["table_name", "anomesdia", "job"]
 
-BUCKET_COLUMN = "key_bucket"
-KEY_BUCKETS = 64
+BATCH_COLUMN = "key_batch"
+#: Partitions that one statement adds.
+PARTITIONS_A_CALL = 500
 
 
 def stamped(df: DataFrame, as_of: datetime) -> DataFrame:
@@ -111,64 +112,87 @@ def keyed_text(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     return as_text(latest_by_key(df, keys, order_by))
 
 
-def upsert_keyed(
-    df: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    buckets: int = KEY_BUCKETS,
+def put_keyed(
+    df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str], as_of: datetime
 ) -> None:
-    """Put rows into a text table by key: a key that is there is replaced as a whole row.
+    """Put a batch into a text table by key: what ``as_of`` stamps is one batch, and only its rows are written.
 
-    The table is partitioned by a hash of its keys, and only the buckets a batch falls into are read
-    and replaced, so a small batch does not rewrite a large table.  ``buckets`` belongs to the table:
-    use the same number for all its batches.  The new buckets are staged before they replace the old
-    ones, because those are read to make them.
+    Of a key that the batch holds more than once, the last row by ``order_by`` is kept.  Batches lie side by
+    side, each in a folder of its own, and ``read_keyed`` folds them.  So the cost of a batch does not depend on the
+    table, batches may come late or at the same time, and one that is put again takes its own place.
     """
-    spark = df.sparkSession
-    keys = resolve_all(df.columns, keys)
-    bucket = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(buckets)).cast("int")
-    fresh = stage(keyed_text(df, keys, order_by).withColumn(BUCKET_COLUMN, bucket), "upsert-batch")
-    merged = None
-    try:
-        merged = _replace_buckets(spark, fresh.frame, path, keys)
-    finally:
-        fresh.release()
-        if merged:
-            merged.release()
-
-
-def _replace_buckets(spark: SparkSession, fresh: DataFrame, path: str, keys: Sequence[str]) -> Staged | None:
-    if not path_has_files(spark, path):
-        write_partitioned(fresh, path, [BUCKET_COLUMN])
-        return None
-    touched = [r[0] for r in fresh.select(BUCKET_COLUMN).distinct().collect()]
-    old = _keyed_rows(spark, path).where(F.col(BUCKET_COLUMN).isin(touched))
-    new_keys = fresh.select([F.col(quoted(k)).alias(f"_new_{i}") for i, k in enumerate(keys)])
-    same = F.lit(True)
-    for i, key in enumerate(keys):
-        same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_new_{i}"))
-    kept = old.join(new_keys, same, "left_anti")
-    merged = stage(kept.unionByName(fresh, allowMissingColumns=True), "upsert")
-    write_partitioned(merged.frame, path, [BUCKET_COLUMN])
-    return merged
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return _keyed_rows(spark, path).drop(BUCKET_COLUMN)
-
-
-def _keyed_rows(spark: SparkSession, path: str) -> DataFrame:
-    """All attributes any row has: batches may differ in those, and every one is text."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    rows = keyed_text(df, keys, order_by).withColumn(BATCH_COLUMN, F.lit(_batch_name(as_of)))
+    write_partitioned(rows, path, [BATCH_COLUMN], balance=False)
+
+
+def read_keyed(
+    spark: SparkSession, path: str, keys: Sequence[str], as_of: datetime | None = None
+) -> DataFrame:
+    """The table as the batches up to ``as_of`` leave it: of each key the whole row of its latest batch.
+
+    A batch holds a key once, so the stamp alone decides.  Attributes that only some batches have are NULL in
+    rows of the others; every attribute is text.
+    """
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    if as_of is not None:
+        rows = rows.where(F.col(BATCH_COLUMN) <= _batch_name(as_of))
+    return latest_by_key(rows, keys, [BATCH_COLUMN]).drop(BATCH_COLUMN)
+
+
+def fold_keyed(spark: SparkSession, path: str, into: str, keys: Sequence[str], as_of: datetime) -> None:
+    """The batches up to ``as_of`` as one batch of a table at another path, which later batches can be put into."""
+    rows = read_keyed(spark, path, keys, as_of).withColumn(BATCH_COLUMN, F.lit(_batch_name(as_of)))
+    write_partitioned(rows, into, [BATCH_COLUMN], balance=False)
+
+
+def _batch_name(as_of: datetime) -> str:
+    """Sorts like the time, and is no number or time that a reader would take for a value of another type."""
+    return as_of.strftime("at-%Y%m%d%H%M%S%f")
 
 
 def register_partitions(spark: SparkSession, identifier: str, partitioned: bool | None = None) -> None:
-    """Make written partition folders known to the catalog, which is asked for the table's layout if
-    the caller does not know it."""
+    """Make all partition folders of a table known to the catalog, from a listing of the whole table.
+
+    For folders that something else wrote; ``add_partitions`` is for those of a write.  The catalog is asked
+    for the table's layout if the caller does not know it.
+    """
     if partitioned is None:
         partitioned = bool(partition_columns(spark, identifier))
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {quoted_table(identifier)}")
     else:
         spark.catalog.refreshTable(quoted_table(identifier))
+
+
+def add_partitions(
+    spark: SparkSession, identifier: str, written: DataFrame, partition_cols: Sequence[str]
+) -> int:
+    """Make the partitions of ``written`` rows known to the catalog, and return how many there are.
+
+    Folders have to be named as the catalog spells the columns.  Nothing is listed.  Their distinct values come to the driver a task's share at a time, and go to the catalog
+    ``PARTITIONS_A_CALL`` at a time.  Without partition columns the table is only read anew.
+    """
+    name = quoted_table(identifier)
+    if not partition_cols:
+        spark.catalog.refreshTable(name)
+        return 0
+    columns = resolve_all(written.columns, partition_cols)
+    values = written.select([F.col(quoted(c)).cast("string").alias(c) for c in columns]).distinct()
+    found = values.toLocalIterator()
+    total = 0
+    while some := list(itertools.islice(found, PARTITIONS_A_CALL)):
+        total += len(some)
+        specs = " ".join(f"PARTITION ({_partition_spec(partition_cols, row)})" for row in some)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(name)
+    return total
+
+
+def _partition_spec(columns: Sequence[str], row) -> str:
+    """An empty text is written to the folder of NULL, so it is registered as that."""
+    return ", ".join(f"{quoted(c)} = {'NULL' if v in (None, '') else _literal(v)}" for c, v in zip(columns, row))
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

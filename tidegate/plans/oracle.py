@@ -265,8 +265,8 @@ ORACLE: dict[str, str] = {
         FROM (VALUES ('tb_orders', 3, 0), ('tb_lineitem', 2, 0), ('tb_events', 2, 0),
                      ('contract_totals_gated', 2, 1)) AS v(table_name, rules, failed)""",
     "q14_merge_mixed_types": """
-        SELECT CAST(l_orderkey % 50 AS INTEGER) AS contract_id, 'S' AS origin FROM lineitem
-        WHERE l_orderkey % 50 NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey < 25)""",
+        SELECT l_orderkey AS contract_id, 'S' AS origin FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
     "q33_two_databases": """
         WITH days AS (SELECT * FROM (VALUES ('20240130'), ('20240201')) AS v(day)),
         dbs AS (SELECT * FROM (VALUES ('first'), ('second')) AS v("database"))

@@ -25,7 +25,7 @@ from tidegate.operators.maintenance import (
     stored_files,
     stored_partitions,
 )
-from tidegate.operators.merge import merge_insert, new_rows, profile_keys
+from tidegate.operators.merge import merge_insert, new_rows
 from tidegate.operators.quality import (
     STORED_OUTCOME_SCHEMA,
     failures,
@@ -34,9 +34,9 @@ from tidegate.operators.quality import (
     stamp_outcomes,
 )
 from tidegate.operators.sinks import (
+    add_partitions,
+    put_keyed,
     read_keyed,
-    register_partitions,
-    upsert_keyed,
     write_csv,
     write_outcomes,
     write_partitioned,
@@ -224,7 +224,7 @@ def partition_overwrite(spark, sf_dir):
 
 
 def keyed_upsert(spark, sf_dir):
-    """Two batches put into a text table by user: the last event of each user is what stays."""
+    """Two batches put into a text table by user, the later one first: the last event of each user is what stays."""
     path = fresh_path(spark, "keyed")
     rows = table(spark, sf_dir, "events").select(
         "event_id",
@@ -234,20 +234,19 @@ def keyed_upsert(spark, sf_dir):
         F.col("value").cast("decimal(18,2)").alias("value"),
         "props",
     )
-    for batch in (rows.where("ts < '2024-01-16'"), rows.where("ts >= '2024-01-16'")):
-        buckets = spark.sparkContext.defaultParallelism
-        upsert_keyed(batch, path, ["user_id"], ["ts", "event_id"], buckets)
-    return read_keyed(spark, path)
+    batches = ((rows.where("ts >= '2024-01-16'"), AS_OF), (rows.where("ts < '2024-01-16'"), datetime(2024, 1, 16)))
+    for batch, stamp in batches:
+        put_keyed(batch, path, ["user_id"], ["ts", "event_id"], stamp)
+    return read_keyed(spark, path, ["user_id"])
 
 
 def partition_registration(spark, sf_dir):
     path = fresh_path(spark, "registration")
     columns = [TableColumn("o_orderkey", "bigint"), TableColumn("o_orderstatus", "string", True)]
     identifier = register(spark, "tidegate_check", unique("orders"), path, columns)
-    write_partitioned(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path, ["o_orderstatus"]
-    )
-    register_partitions(spark, identifier)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    write_partitioned(rows, path, ["o_orderstatus"])
+    add_partitions(spark, identifier, rows, ["o_orderstatus"])
     return spark.table(identifier).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -322,17 +321,19 @@ def merge(spark, sf_dir):
 
 
 def merge_mixed_types(spark, sf_dir):
-    """The source's keys are ints, the target's longs, and the source's hot keys take the path of their own."""
+    """Line keys as decimals of 38 digits, order keys with 18 digits after the point: no type holds both.
+
+    Keys of closed orders are known as they are, those of others with a half on top, which no line key equals.
+    Sides are too large to broadcast, and keys of five lines and more take the path of hot keys.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    source = lines.select(
-        (F.col("l_orderkey") % 50).cast("int").alias("contract_id"), F.lit("S").alias("origin")
-    )
-    known = table(spark, sf_dir, "orders").where("o_orderkey < 25").select(
-        F.col("o_orderkey").cast("long").alias("contract_id"), F.lit("T").alias("origin")
+    source = lines.select(F.col("l_orderkey").cast("decimal(38,0)").alias("contract_id"), F.lit("S").alias("origin"))
+    half = F.when(F.col("o_orderstatus") == "F", F.lit(0)).otherwise(F.lit(0.5)).cast("decimal(38,18)")
+    known = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + half).cast("decimal(38,18)").alias("contract_id"), F.lit("T").alias("origin")
     )
-    keyed = source.select(F.col("contract_id").cast("long").alias("_key_0"))
-    hot = profile_keys(keyed, ["_key_0"], hot_share=0.0, hot_rows=1)
-    return new_rows(source, known, ["contract_id"], profile=hot, broadcast_bytes=0)
+    fresh = new_rows(source, known, ["contract_id"], broadcast_bytes=0, hot_share=0.0, hot_rows=5)
+    return fresh.withColumn("contract_id", F.col("contract_id").cast("long"))
 
 
 def two_databases(spark, sf_dir):
