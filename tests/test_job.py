@@ -8,11 +8,14 @@ from tests.test_spec import dependency, raw
 from tidegate.__main__ import main
 from tidegate.operators.ledger import read_ledger
 from tidegate.operators.quality import STORED_OUTCOME_SCHEMA
+from tests.plans import plan_of
+from tidegate.plans import job as jobs
 from tidegate.plans.job import QualityStop, run_job, run_merge
 from tidegate.plans.queries import register
 from tidegate.sources import TableColumn
 from tidegate.spec import SpecError, parse_spec
-from tidegate.storage import Lake, fresh_path, shared_folder
+from tidegate.operators import quality
+from tidegate.storage import Lake, fresh_path, shared_folder, stage
 
 AS_OF = datetime(2024, 2, 1)
 COLUMNS = [
@@ -232,3 +235,46 @@ def test_nested_targets_are_refused_unless_kept(spark, lake):
 def test_merge_sources_need_names_of_their_own(spark):
     with pytest.raises(ValueError):
         run_merge(spark, ["a.t", "b.T"], "SELECT 1", "c.t", ["k"])
+
+
+def test_the_result_is_shuffled_once_and_written_as_it_lies(spark, lake, monkeypatch):
+    staged, written = [], []
+    write = jobs.write_partitioned
+    monkeypatch.setattr(quality, "stage", lambda df, label: staged.append(plan_of(df)) or stage(df, label))
+    monkeypatch.setattr(jobs, "write_partitioned", lambda df, *a, **k: (written.append((plan_of(df), k)), write(df, *a, **k)))
+    sql = "SELECT K AS KEY, v AS TOTAL, '20240201' AS DAY FROM TB_JOB_IN"
+    run_job(spark, spec(rules=["RowCount = 3"]), lake, AS_OF, sql)
+    assert staged[0].count("Exchange") == 1 and "CollectMetrics" in staged[0]
+    assert [("Exchange" in plan, options) for plan, options in written] == [(False, {"balance": False})]
+    assert spark.table("tidegate_test.tb_job_out").count() == 3
+
+
+def several(read_rules):
+    return parse_spec(
+        raw(
+            TableName="tb_job_out",
+            DatabaseName="tidegate_test",
+            Dependencies=[
+                dependency(f"tb_job_in_{i}", "tidegate_test", Predicate=[], Quality={"Rules": rules, "ReadIfFail": False})
+                for i, rules in enumerate(read_rules)
+            ],
+            Quality={"Rules": [], "WriteIfFail": False},
+        )
+    )
+
+
+def test_rules_of_all_inputs_are_one_plan_and_one_write(spark, lake, monkeypatch):
+    writes = []
+    write = jobs.write_outcomes
+    monkeypatch.setattr(jobs, "write_outcomes", lambda rows, *a: (writes.append(rows.count()), write(rows, *a)))
+    path = fresh_path(spark, "job-input")
+    spark.createDataFrame([("a", "1.5"), ("b", "3")], "k string, v string").write.parquet(path)
+    for i in range(4):
+        register(spark, "tidegate_test", f"tb_job_in_{i}", path)
+    sql = "SELECT k AS key, v AS total, '20240201' AS day FROM tb_job_in_0"
+    good = ["RowCount > 1", 'DistinctValuesCount "k" = 2', 'DistinctValuesCount "v" = 2']
+    assert run_job(spark, several([good, [], good, ["RowCount = 2"]]), lake, AS_OF, sql).written
+    assert writes == [7]
+    with pytest.raises(QualityStop, match="tb_job_in_1") as stop:
+        run_job(spark, several([good, ["RowCount = 5"], ["RowCount = 7"]]), lake, AS_OF, sql)
+    assert writes == [7, 4] and stop.value.report.reads == {"tb_job_in_0": "read", "tb_job_in_1": "stop"}

@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidegate.operators.ledger import LEDGER_SCHEMA, entries, partitions, read_ledger, record
+from tidegate.operators.ledger import LEDGER_SCHEMA, absent, entries, partitions, put_entries, read_ledger, record
 from tidegate.storage import fresh_path
 
 DAY1, DAY2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -59,3 +59,18 @@ def test_entries_that_were_added_twice_count_once(spark):
         entries(df, "t", ["p"], day).write.mode("append").partitionBy("table_name").parquet(path)
     assert seen(spark, path) == [("t", "p=a", '{"p":"a"}', "20240101")]
     assert read_ledger(spark, path).schema.names == LEDGER_SCHEMA.names
+
+
+def test_two_jobs_that_race_leave_one_entry_on_disk(spark):
+    path = fresh_path(spark, "ledger")
+    record(spark.createDataFrame([("z",)], "p string"), path, "t", ["p"], DAY1)
+    df = spark.createDataFrame([("a",), ("a#b",), (None,)], "p string")
+    # Both look before either writes.
+    looked = [absent(entries(df, "t", ["p"], day), read_ledger(spark, path)).collect() for day in (DAY1, DAY2)]
+    assert [len(found) for found in looked] == [3, 3]
+    for found in looked:
+        put_entries(spark.createDataFrame(found, LEDGER_SCHEMA), path)
+    assert spark.read.parquet(path).count() == 4
+    assert [r[1] for r in seen(spark, path)] == ["p=None", "p=a", "p=a#b", "p=z"]
+    put_entries(spark.createDataFrame(looked[0], LEDGER_SCHEMA).withColumn("table_name", F.lit("u")), path)
+    assert spark.read.parquet(path).count() == 7

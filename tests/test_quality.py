@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 from tests.plans import plan_of
 from tidegate.operators import gates
-from tidegate.operators.quality import OUTCOME_SCHEMA, failures, outcomes, outcomes_of_sets
+from tidegate.operators import quality
+from tidegate.operators.quality import OUTCOME_SCHEMA, failures, outcomes, outcomes_of_sets, staged_outcomes
 from tidegate.spec import parse_rules
+from tidegate.storage import stage
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +117,44 @@ def test_gates(spark, passed, policy, flag, goes_on):
         gates.write_action(F.lit(passed), F.lit(policy), F.lit(flag)),
     ).first()
     assert tuple(row) == (("read", "write") if goes_on else ("stop", "skip"))
+
+
+COUNTS = ['DistinctValuesCount "id" > 1', 'DistinctValuesCount "fonte" = 2', 'DistinctValuesCount "n" > 5', "RowCount = 4"]
+
+
+def test_distinct_counts_do_not_copy_rows(spark, frame):
+    found = outcomes(frame, parse_rules(COUNTS))
+    assert "Expand" not in plan_of(found)
+    assert [tuple(r)[1:3] for r in found.collect()] == [("Passed", 2.0), ("Passed", 2.0), ("Failed", 2.0), ("Passed", 4.0)]
+    assert "Expand" not in plan_of(outcomes(frame, parse_rules(COUNTS[1:2])))
+
+
+def test_each_distinct_count_reads_its_column_alone(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    rules = ['DistinctValuesCount "o_custkey" > 1', 'DistinctValuesCount "o_orderstatus" > 1']
+    plan = plan_of(outcomes(orders, parse_rules(rules)))
+    assert "ReadSchema: struct<o_custkey:bigint>" in plan and "ReadSchema: struct<o_orderstatus:string>" in plan
+
+
+SETS = {"one": COUNTS, "two": ["RowCount < 2", 'ColumnValues "fonte" in ["a"]'], "none": [], "lost": ['ColumnValues "x" in [1]']}
+
+
+@pytest.mark.parametrize("rsd", [None, 0.01])
+@pytest.mark.parametrize("names", [("one",), ("two",), ("one", "two"), ("none",), ("lost", "two"), ("lost",)])
+def test_outcomes_measured_while_staging_are_the_same(spark, frame, names, rsd):
+    sets = {n: parse_rules(SETS[n]) for n in names}
+    for df in (frame, frame.where("false")):
+        held, found = staged_outcomes(df, sets, "quality-test", rsd)
+        want = outcomes_of_sets(df, sets, rsd)
+        assert found.columns == want.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+        assert sorted(map(str, held.frame.collect())) == sorted(map(str, df.collect()))
+        held.release()
+
+
+def test_rules_that_need_no_distinct_count_cost_no_scan(spark, frame, monkeypatch):
+    staged = []
+    monkeypatch.setattr(quality, "stage", lambda df, label: staged.append(plan_of(df)) or stage(df, label))
+    _, found = staged_outcomes(frame, {"two": parse_rules(SETS["two"])}, "quality-test")
+    assert "CollectMetrics" in staged[0] and len(staged) == 1
+    assert "parquet" not in plan_of(found).lower() and "Scan Existing" not in plan_of(found)

@@ -22,6 +22,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("table_name", T.StringType()),
     ]
 )
+#: Partition folder of one entry; not part of what is read.
+ENTRY_COLUMN = "entry"
 LEDGER_KEY = ["table_name", "prtc_key"]
 
 
@@ -66,9 +68,22 @@ def record(
 ) -> None:
     """Add the partitions of ``df`` that the ledger lacks.  A second call adds nothing.
 
-    The ledger is partitioned by table, so only that table's entries are read.  One writer per table
-    is assumed; ``read_ledger`` copes with an entry that was added twice.
+    The ledger is partitioned by table, so only that table's entries are read.
     """
     known = read_ledger(df.sparkSession, path).where(F.col("table_name") == table_name)
-    fresh = absent(entries(df, table_name, columns, as_of), known)
-    fresh.write.mode("append").partitionBy("table_name").parquet(path)
+    put_entries(absent(entries(df, table_name, columns, as_of), known), path)
+
+
+def put_entries(fresh: DataFrame, path: str) -> None:
+    """Write entries, each to the folder that the hash of its key names.
+
+    Two jobs that race for a key write to the same folder, and the later one replaces what is there: one entry
+    is on disk, not only one is read.
+    """
+    (
+        fresh.withColumn(ENTRY_COLUMN, F.concat(F.lit("e"), F.substring(F.sha2("prtc_key", 256), 1, 32)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("table_name", ENTRY_COLUMN)
+        .parquet(path)
+    )

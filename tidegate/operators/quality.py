@@ -1,18 +1,19 @@
-"""Quality rules as one aggregation over the frame, whatever the number of rules."""
+"""Quality rules as one aggregation over the frame, or measured while the frame is staged."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.casts import lenient_cast
 from tidegate.functions.names import quoted, resolve
 from tidegate.spec import Rule
-from tidegate.storage import empty_frame
+from tidegate.storage import Staged, empty_frame, stage
 
 PASSED = "Passed"
 FAILED = "Failed"
@@ -50,25 +51,95 @@ def outcomes(df: DataFrame, rules: Sequence[Rule], approx_rsd: float | None = No
 def outcomes_of_sets(
     df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], approx_rsd: float | None = None
 ) -> DataFrame:
-    """Outcomes of several named rule sets over the same frame, still in one aggregation.
+    """Outcomes of several named rule sets over the same frame.
 
     Only the columns the rules name are read.  Rules that ask for the same number share it.
     ``approx_rsd`` replaces exact distinct counts by estimates with that relative error, for wide
     rule sets on large frames; exact is the default.
+
+    A frame is scanned once, and once more for each column but one whose values are counted exactly.
     """
-    metrics: dict[tuple, Column] = {}
-    rows = []
-    for name, rules in rule_sets.items():
-        for rule in rules:
-            rows.append(_outcome(df, name, rule, metrics, approx_rsd))
-    if not rows:
-        schema = T.StructType([T.StructField("rule_set", T.StringType()), *OUTCOME_SCHEMA.fields])
-        return empty_frame(df.sparkSession, schema)
-    if metrics:
-        measured = df.agg(*[c.alias(_metric_name(k, metrics)) for k, c in metrics.items()])
+    asked = _asked(df, rule_sets, approx_rsd)
+    if not asked.rows:
+        return _no_outcomes(df.sparkSession)
+    return asked.outcomes(_measured(df, asked.metrics))
+
+
+def staged_outcomes(
+    df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], label: str, approx_rsd: float | None = None
+) -> tuple[Staged, DataFrame]:
+    """``df`` as a staged table, and the outcomes of rule sets over it, measured while it is written.
+
+    Only exact counts of distinct values can't be watched on the way; these read their column of the staged table.
+    """
+    asked = _asked(df, rule_sets, approx_rsd)
+    watched = {n: c for n, (c, exact) in asked.metrics.items() if not exact}
+    spark = df.sparkSession
+    if not watched:
+        held = stage(df, label)
+        values = {}
     else:
-        measured = df.sparkSession.range(1)
-    return measured.select(F.inline(F.array(*rows)))
+        seen = Observation()
+        held = stage(df.observe(seen, *[c.alias(n) for n, c in watched.items()]), label)
+        values = seen.get
+    if not asked.rows:
+        return held, _no_outcomes(spark)
+    measured = spark.range(1).select([F.lit(values[n]).cast("long").alias(n) for n in watched])
+    counted = {n: m for n, m in asked.metrics.items() if n not in watched}
+    if counted:
+        measured = _side_by_side([measured, *_counts(held.frame, counted)], list(asked.metrics))
+    return held, asked.outcomes(measured)
+
+
+@dataclass(frozen=True)
+class Asked:
+    """Numbers that rules ask for, by name, each with whether it is an exact distinct count; and outcome rows."""
+
+    metrics: dict[str, tuple[Column, bool]]
+    rows: list[Column]
+
+    def outcomes(self, measured: DataFrame) -> DataFrame:
+        return measured.select(F.inline(F.array(*self.rows)))
+
+
+def _asked(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], approx_rsd: float | None) -> Asked:
+    metrics: dict[tuple, Column] = {}
+    rows = [_outcome(df, name, rule, metrics, approx_rsd) for name, rules in rule_sets.items() for rule in rules]
+    exact = approx_rsd is None
+    return Asked({_metric_name(k, metrics): (c, exact and k[0] == "distinct") for k, c in metrics.items()}, rows)
+
+
+def _measured(df: DataFrame, metrics: Mapping[str, tuple[Column, bool]]) -> DataFrame:
+    """One row with all numbers.
+
+    Several exact distinct counts in one aggregation would copy each row once a column.  So all but the first have
+    an aggregation of their own, which reads one column and folds its values before they are shuffled.
+    """
+    if not metrics:
+        return df.sparkSession.range(1)
+    exact = [n for n, (_, is_exact) in metrics.items() if is_exact]
+    apart = {n: metrics[n] for n in exact[1:]}
+    together = df.agg(*[c.alias(n) for n, (c, _) in metrics.items() if n not in apart])
+    if not apart:
+        return together
+    return _side_by_side([together, *_counts(df, apart)], list(metrics))
+
+
+def _counts(df: DataFrame, metrics: Mapping[str, tuple[Column, bool]]) -> list[DataFrame]:
+    return [df.agg(column.alias(name)) for name, (column, _) in metrics.items()]
+
+
+def _side_by_side(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFrame:
+    """Frames of one row, each with some of the numbers, as one row with all of them."""
+    rows = None
+    for frame in frames:
+        whole = frame.select([(F.col(n) if n in frame.columns else F.lit(None)).cast("long").alias(n) for n in names])
+        rows = whole if rows is None else rows.unionAll(whole)
+    return rows.agg(*[F.max(n).alias(n) for n in names])
+
+
+def _no_outcomes(spark: SparkSession) -> DataFrame:
+    return empty_frame(spark, T.StructType([T.StructField("rule_set", T.StringType()), *OUTCOME_SCHEMA.fields]))
 
 
 def outcome_frame(spark: SparkSession, rows: Sequence[Row]) -> DataFrame:

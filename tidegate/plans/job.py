@@ -13,12 +13,18 @@ from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import record
 from tidegate.operators.merge import merge_insert
-from tidegate.operators.quality import PASSED, outcome_frame, outcomes, stamp_outcomes
-from tidegate.operators.sinks import register_partitions, write_outcomes, write_partitioned
+from tidegate.operators.quality import PASSED, outcome_frame, outcomes_of_sets, staged_outcomes, stamp_outcomes
+from tidegate.operators.sinks import (
+    add_partitions,
+    balanced,
+    register_partitions,
+    write_outcomes,
+    write_partitioned,
+)
 from tidegate.sources.scans import drop_view, expose_view, read_catalog, read_dependency, refuse_taken
-from tidegate.sources.schema import check_writable, table_columns, table_location
+from tidegate.sources.schema import check_writable, partition_columns, table_columns, table_location
 from tidegate.spec import Dependency, JobSpec, Rule
-from tidegate.storage import Lake, load_spec, load_sql, stage
+from tidegate.storage import Lake, load_spec, load_sql
 
 OUTCOME_TABLES = ("sor.predq", "sor.quality")
 READ_PHASE, RESULT_PHASE = "predq", "quality"
@@ -73,49 +79,54 @@ def run_job(
     landing = spec.layer == "CSV"
     if not landing:
         refuse_taken(spark, [d.table for d in spec.dependencies])
+    by = [c.name for c in columns if c.is_partition]
+    store = OutcomeStore(spark, lake, as_of, spec)
     temporary = []
 
-    def settle(df: DataFrame, label: str) -> DataFrame:
+    def settled(df: DataFrame, rule_sets: dict[str, Sequence[Rule]]) -> tuple[DataFrame, list[Row]]:
+        """The frame as rules, write and ledger read it, and the outcomes of its rules."""
         if not staged:
-            return df
-        temporary.append(stage(df, label))
-        return temporary[-1].frame
+            return df, outcomes_of_sets(df, rule_sets, approx_rsd).collect()
+        # Dealt as it will be written, so that the write needs no shuffle, and measured on the way.
+        held, found = staged_outcomes(balanced(df, by), rule_sets, spec.table, approx_rsd)
+        temporary.append(held)
+        return held.frame, found.collect()
 
     try:
-        # Text files have no columns to prune, so a landing file is parsed once, not once per step.
-        source = None
-        for dependency in spec.dependencies:
-            source = read_dependency(spark, spec, dependency, lake, as_of)
-            if landing:
-                source = settle(source, spec.table)
-            else:
-                expose_view(source, dependency.table)
-            passed = check(
-                source, dependency.rules, dependency, READ_PHASE, lake, as_of, report, approx_rsd, spec
-            )
-            read = gates.goes_on(passed, policy, dependency.read_if_fail)
-            report.reads[dependency.table] = gates.READ if read else gates.STOP
-            if not read:
-                raise QualityStop(f"{dependency.table} failed its quality rules", report)
-
         if landing:
-            result = source
+            # Text files have no columns to prune, so a landing file is parsed once, not once per step.
+            source = spec.dependencies[0]
+            frame = read_dependency(spark, spec, source, lake, as_of)
+            result, found = settled(frame, {READ_PHASE: source.rules, RESULT_PHASE: spec.rules})
+            passed = _gate_reads(store, report, policy, [(source, _of_set(found, READ_PHASE))])
+            last = _of_set(found, RESULT_PHASE)
         else:
-            if sql is None:
-                raise ValueError(f"a {spec.layer} job needs its SQL")
-            result = cast_to_columns(run_sql(spark, sql, as_of), columns, keep_nested)
-            result = settle(result, spec.table)
-
-        passed = check(result, spec.rules, spec, RESULT_PHASE, lake, as_of, report, approx_rsd, spec)
-        if gates.goes_on(passed, policy, spec.write_if_fail):
+            frames = []
+            for dependency in spec.dependencies:
+                frames.append(read_dependency(spark, spec, dependency, lake, as_of))
+                expose_view(frames[-1], dependency.table)
+            found = _input_outcomes(frames, spec.dependencies, approx_rsd)
+            passed = _gate_reads(store, report, policy, list(zip(spec.dependencies, found)))
+            if passed:
+                if sql is None:
+                    raise ValueError(f"a {spec.layer} job needs its SQL")
+                result = cast_to_columns(run_sql(spark, sql, as_of), columns, keep_nested)
+                result, found = settled(result, {RESULT_PHASE: spec.rules})
+                last = _of_set(found, RESULT_PHASE)
+        if not passed:
+            stopped = next(name for name, read in report.reads.items() if read == gates.STOP)
+            raise QualityStop(f"{stopped} failed its quality rules", report)
+
+        report.outcomes[f"{RESULT_PHASE}/{spec.table}"] = last
+        store.write(RESULT_PHASE, [(spec, last)])
+        if gates.goes_on(_passed(last), policy, spec.write_if_fail):
             report.write = gates.WRITE
-            by = [c.name for c in columns if c.is_partition]
-            write_partitioned(result, report.path, by, as_of, overwrite)
+            write_partitioned(result, report.path, by, as_of, overwrite, balance=not staged)
             record(result, lake.ledger, spec.identifier, by, as_of)
-            register_partitions(spark, spec.identifier, partitioned=bool(by))
+            add_partitions(spark, spec.identifier, result, by)
         for name in outcome_tables:
             if spark.catalog.tableExists(quoted_table(name)):
-                register_partitions(spark, name)
+                store.register(name)
         return report
     finally:
         for one in temporary:
@@ -125,6 +136,75 @@ def run_job(
                 drop_view(spark, dependency.table)
 
 
+@dataclass
+class OutcomeStore:
+    """Where a job's outcomes go: one write a phase, whatever the number of inputs."""
+
+    spark: SparkSession
+    lake: Lake
+    as_of: datetime
+    job: JobSpec
+    written: dict[str, DataFrame] = field(default_factory=dict)
+
+    def write(self, phase: str, found: Sequence[tuple[Dependency | JobSpec, list[Row]]]) -> None:
+        rows = None
+        for of, outcome_rows in found:
+            if not outcome_rows:
+                continue
+            name = of.identifier if of.database else of.table
+            frame = outcome_frame(self.spark, outcome_rows)
+            frame = stamp_outcomes(frame, name, self.as_of, self.job.identifier)
+            rows = frame if rows is None else rows.unionAll(frame)
+        if rows is not None:
+            write_outcomes(rows, self.lake.outcomes, phase, self.as_of)
+            self.written[phase] = rows
+
+    def register(self, table: str) -> None:
+        """Tell the catalog of the partitions that this run wrote to the table's folder."""
+        folder = (table_location(self.spark, table) or "").rstrip("/").rpartition("/")[2]
+        if folder in self.written:
+            add_partitions(self.spark, table, self.written[folder], partition_columns(self.spark, table))
+        elif folder not in (READ_PHASE, RESULT_PHASE):
+            register_partitions(self.spark, table)
+
+
+def _input_outcomes(
+    frames: Sequence[DataFrame], dependencies: Sequence[Dependency], approx_rsd: float | None
+) -> list[list[Row]]:
+    """Outcomes of the rules of all inputs: one plan and one collect, so that Spark reads them side by side."""
+    union = None
+    for i, (frame, dependency) in enumerate(zip(frames, dependencies)):
+        if dependency.rules:
+            one = outcomes_of_sets(frame, {str(i): dependency.rules}, approx_rsd)
+            union = one if union is None else union.unionAll(one)
+    rows = union.collect() if union is not None else []
+    return [_of_set(rows, str(i)) for i in range(len(frames))]
+
+
+def _of_set(rows: Sequence[Row], name: str) -> list[Row]:
+    return [row for row in rows if row["rule_set"] == name]
+
+
+def _passed(rows: Sequence[Row]) -> bool:
+    return all(row["outcome"] == PASSED for row in rows)
+
+
+def _gate_reads(
+    store: OutcomeStore, report: RunReport, policy: str, found: Sequence[tuple[Dependency, list[Row]]]
+) -> bool:
+    """Whether the run goes on.  Outcomes are kept up to the first input that stops it, in one write."""
+    looked_at = []
+    for dependency, rows in found:
+        looked_at.append((dependency, rows))
+        report.outcomes[f"{READ_PHASE}/{dependency.table}"] = rows
+        read = gates.goes_on(_passed(rows), policy, dependency.read_if_fail)
+        report.reads[dependency.table] = gates.READ if read else gates.STOP
+        if not read:
+            break
+    store.write(READ_PHASE, looked_at)
+    return gates.STOP not in report.reads.values()
+
+
 def run_sql(spark: SparkSession, sql: str, as_of: datetime | None = None) -> DataFrame:
     """SQL text of a job.  ``:as_of`` in it is the time of the run."""
     if ":as_of" not in sql:
@@ -165,28 +245,3 @@ def run_merge(
     finally:
         for name in names:
             drop_view(spark, name)
-
-
-def check(
-    df: DataFrame,
-    rules: Sequence[Rule],
-    of: Dependency | JobSpec,
-    phase: str,
-    lake: Lake,
-    as_of: datetime,
-    report: RunReport,
-    approx_rsd: float | None,
-    job: JobSpec,
-) -> bool:
-    """Evaluate a rule set, store its outcomes, and say whether all rules passed.
-
-    The frame is aggregated once: the outcomes, one row per rule, come to the driver, and both the
-    stored rows and the answer are made from them.
-    """
-    rows = outcomes(df, rules, approx_rsd).collect()
-    report.outcomes[f"{phase}/{of.table}"] = rows
-    if rows:
-        name = of.identifier if of.database else of.table
-        frame = stamp_outcomes(outcome_frame(df.sparkSession, rows), name, as_of, job.identifier)
-        write_outcomes(frame, lake.outcomes, phase, as_of)
-    return all(row["outcome"] == PASSED for row in rows)
