@@ -11,11 +11,12 @@ their sets have a Jaccard similarity of ``PERCENT`` of a hundred; a group is wha
    ones of ``n``, a set can be linked only with sets of at most ``(180 c - 80 n) / 80`` (80: ``PERCENT``), as the
    private ones of both are apart.  Edited copies with too many edits of their own are done here.
 4. Each bucket has a pivot: the member that meets most others, which is mostly the text that the copies were
-   made of.  Members are verified against the pivots: by their minima first, where a pair at the limit falls
-   below ``ENOUGH`` agreements with a probability of 4e-7, then on whole sets.
+   made of.  Members are verified against the pivots: by ``BITS`` parities of the set, whose differences are at
+   most those of the sets; by their minima, where a pair at the limit falls below ``ENOUGH`` agreements with a
+   probability of 4e-7; then on whole sets.  Members that follow the same pivots are of one group.
 5. In buckets that are not yet one group, the members outside the group of the pivot meet all members of other
-   groups that their sizes allow, and those pairs are verified likewise.  In a settled bucket nothing is paired,
-   whatever its size.  No bucket is capped.
+   groups that their sizes and parities allow, and those pairs are verified likewise.  In a settled bucket
+   nothing is paired, whatever its size.  No bucket is capped.
 6. Groups are the connected components of the links, by large-star and small-star steps.
 
 So a link is confirmed on whole sets, and is missed with a probability under 1e-5, or where sets differ only
@@ -31,6 +32,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,8 @@ PERCENT = 80
 HASHES, ROWS = 96, 4
 #: Agreeing minima of a pair that is worth a look at the whole sets.
 ENOUGH = 58
+#: Parities of a set, in words of 64 bits.
+BITS = 1024
 #: Words are hashed in runs of texts with at most so many bytes (or one text).
 RUN_BYTES = 1 << 20
 #: Minima are taken over runs of sets with at most so many shingles (or one set): a run stays in the cache.
@@ -65,34 +70,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stage(
         rows.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("f1", "f2")
-        .agg(F.min(F.struct("doc_id", "key")).alias("m"), F.first("n").alias("n"), F.first("minima").alias("minima"))
-        .select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "m.doc_id", "m.key", "n", "minima"),
+        .agg(
+            F.min(F.struct("doc_id", "key")).alias("m"),
+            F.first("minima").alias("minima"),
+            F.count(F.lit(1)).alias("times"),
+        )
+        .select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "m.doc_id", "m.key", "minima", "times"),
         "minhash-classes",
     ).frame
     members = stage(_bucket_members(classes), "minhash-members")
-    free_shuffles(spark)
     shared = stage(members.frame.groupBy("cid").agg(F.sum("times").alias("score")), "minhash-shared")
     sets = stage(_sets(docs, classes.join(shared.frame, "cid").select("cid", "key")), "minhash-sets")
     free_shuffles(spark)
     known = stage(_linkable(sets.frame, shared.frame), "minhash-linkable")
-    free_shuffles(spark)
     links = _links(members.frame, known.frame, classes.select("cid", "minima"), sets.frame)
     for done in (members, shared, known, sets):
         done.release()
     groups = components(links.frame)
-    numbers = classes.select("cid", "doc_id", "f1", "f2")
+    numbers = classes.select("cid", "doc_id", "f1", "f2", "times")
     least = (
         groups.join(numbers.select(F.col("cid").alias("node"), "doc_id"), "node")
         .groupBy("component")
         .agg(F.min("doc_id").alias("first_id"))
     )
     first = groups.join(least, "component").select(F.col("node").alias("cid"), "first_id")
-    found = numbers.join(first, "cid", "left").select("f1", "f2", F.coalesce("first_id", "doc_id").alias("component_id"))
-    counted = found.join(
-        rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("times")), ["f1", "f2"]
+    found = numbers.join(first, "cid", "left").select(
+        "f1", "f2", "times", F.coalesce("first_id", "doc_id").alias("component_id")
     )
     named = join_hot(
-        rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "f1", "f2"), stage(counted, "minhash-named").frame, ["f1", "f2"]
+        rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "f1", "f2"),
+        stage(found, "minhash-named").frame,
+        ["f1", "f2"],
     ).select("doc_id", "n", "component_id")
     rest = rows.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return named.unionAll(rest).select(
@@ -181,6 +189,12 @@ def all_minima(sets: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Bit ``i`` tells whether an odd number of shingles falls on ``i``."""
+    counts = np.bincount((found >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
+    return np.packbits(counts & 1, bitorder="little").view(np.int64)
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,57 +247,68 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     batch["cid"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["cid", "n", "hashes"],
+                names=["cid", "n", "hashes", "bits"],
             )
 
     # Equal rows share a key; one of them is read.  The join has dealt the rows by key already.
     texts = _keyed(docs).select("key", "text").join(wanted, "key").dropDuplicates(["key"]).select("cid", "text")
-    return texts.mapInArrow(made, "cid long, n long, hashes array<bigint>")
+    return texts.mapInArrow(made, "cid long, n long, hashes array<bigint>, bits array<bigint>")
 
 
 def _linkable(sets: DataFrame, shared: DataFrame) -> DataFrame:
-    """(cid, n, most, score): the largest size of a set that each could be linked with, where there is any."""
+    """(cid, n, most, score, bits): the largest size of a set that each could be linked with, where there is any."""
     spread = sets.select("cid", F.explode("hashes").alias("h"))
     single = spread.groupBy("h").agg(F.count(F.lit(1)).alias("times"), F.min("cid").alias("cid")).where("times = 1")
     private = single.groupBy("cid").agg(F.count(F.lit(1)).alias("private"))
     common = F.col("n") - F.coalesce("private", F.lit(0))
     most = F.floor(((100 + PERCENT) * common - PERCENT * F.col("n")) / PERCENT)
     return (
-        sets.select("cid", "n")
+        sets.select("cid", "n", "bits")
         .join(private, "cid", "left")
         .join(shared, "cid")
-        .select("cid", "n", most.alias("most"), "score")
+        .select("cid", "n", most.alias("most"), "score", "bits")
         .where(100 * F.col("most") >= PERCENT * F.col("n"))
     )
 
 
+def _side(name: str, struct: str) -> list[Column]:
+    """The fields of a member as columns of their own: a join condition reads these much faster than an array."""
+    plain = [F.col(f"{struct}.{c}").alias(f"{name}_{c}") for c in ("cid", "n", "most")]
+    return plain + [F.col(f"{struct}.bits")[i].alias(f"{name}_{i}") for i in range(BITS // 64)]
+
+
 def _can_link(a: str, b: str) -> Column:
-    one, two = F.col(f"{a}.n"), F.col(f"{b}.n")
+    """Bounds that similar sets keep: sizes, private shingles, parities."""
+    one, two = F.col(f"{a}_n"), F.col(f"{b}_n")
+    apart = reduce(add, [F.bit_count(F.col(f"{a}_{i}").bitwiseXOR(F.col(f"{b}_{i}"))) for i in range(BITS // 64)])
     return (
-        (one <= F.col(f"{b}.most"))
-        & (two <= F.col(f"{a}.most"))
+        (one <= F.col(f"{b}_most"))
+        & (two <= F.col(f"{a}_most"))
         & (100 * F.least(one, two) >= PERCENT * F.greatest(one, two))
+        & (apart * (100 + PERCENT) <= (one + two) * (100 - PERCENT))
     )
 
 
 def _links(members: DataFrame, known: DataFrame, minima: DataFrame, sets: DataFrame) -> Staged:
     """Links (a, b) that connect exactly what the links between all similar sets connect."""
     able = stage(
-        members.join(known, "cid").select("band", F.struct("cid", "n", "most", "score").alias("m")), "minhash-able"
+        members.join(known, "cid").select("band", F.struct("cid", "n", "most", "score", "bits").alias("m")), "minhash-able"
     )
-    ranked = F.struct(F.col("m.score"), -F.col("m.cid"), F.col("m.n"), F.col("m.most"))
-    pivots = able.frame.groupBy("band").agg(F.max(ranked).alias("p"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    pivots = stage(
-        pivots.select("band", "times", F.struct((-F.col("p.col2")).alias("cid"), F.col("p.n"), F.col("p.most")).alias("p")),
-        "minhash-pivots",
+    pivots = able.frame.groupBy("band").agg(
+        F.max(F.struct(F.col("m.score").alias("score"), F.col("m.cid").alias("cid"))).alias("p"),
+        F.count(F.lit(1)).alias("times"),
     )
-    met = join_hot(able.frame, pivots.frame, ["band"]).where(F.col("m.cid") != F.col("p.cid")).where(_can_link("m", "p"))
-    pairs = met.select(F.col("m.cid").alias("a"), F.col("p.cid").alias("b")).distinct()
+    central = known.select("cid", F.struct("cid", "n", "most", "score", "bits").alias("p"))
+    pivots = pivots.where("times > 1").select("band", "times", "p.cid").join(central, "cid").drop("cid")
+    pivots = stage(pivots, "minhash-pivots")
+    met = join_hot(able.frame, pivots.frame, ["band"]).select(*_side("m", "m"), *_side("p", "p"))
+    met = met.where("m_cid <> p_cid").where(_can_link("m", "p"))
+    pairs = met.select(F.col("m_cid").alias("a"), F.col("p_cid").alias("b")).distinct()
     tried = stage(_alike(pairs, minima), "minhash-tried")
     first = stage(_confirmed(tried.frame, sets), "minhash-first")
-    groups = components(first.frame).select(F.col("node").alias("cid"), F.col("component").alias("g"))
-    groups = stage(groups, "minhash-groups")
+    groups = stage(_followed(first.frame, known), "minhash-groups")
 
     labelled = able.frame.withColumn("cid", F.col("m.cid")).join(groups.frame, "cid", "left").select(
         "band", "m", F.coalesce("g", "cid").alias("g")
@@ -297,12 +322,12 @@ def _links(members: DataFrame, known: DataFrame, minima: DataFrame, sets: DataFr
     # Members of the pivot's group meet only those outside; two outside meet once.
     opened = outside.frame.groupBy("band").agg(F.count(F.lit(1)).alias("times"))
     inside = join_hot(sided.where("g = pg").select("band", "m", "g"), stage(opened, "minhash-open").frame, ["band"])
-    x = outside.frame.select("band", F.col("m").alias("x"), F.col("g").alias("xg"))
+    x = outside.frame.select("band", F.col("g").alias("xg"), *_side("x", "m"))
     others = inside.withColumn("own", F.lit(True)).unionByName(outside.frame.withColumn("own", F.lit(False)))
-    y = others.select("band", F.col("m").alias("y"), F.col("g").alias("yg"), "own")
-    meet = (F.col("xg") != F.col("yg")) & (F.col("own") | (F.col("x.cid") > F.col("y.cid"))) & _can_link("x", "y")
+    y = others.select("band", F.col("g").alias("yg"), "own", *_side("y", "m"))
+    meet = (F.col("xg") != F.col("yg")) & (F.col("own") | (F.col("x_cid") > F.col("y_cid"))) & _can_link("x", "y")
     rest = x.join(y, (x["band"] == y["band"]) & meet).select(
-        F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")
+        F.greatest("x_cid", "y_cid").alias("a"), F.least("x_cid", "y_cid").alias("b")
     )
     seen = tried.frame.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     rest = _alike(rest.distinct().join(seen, ["a", "b"], "left_anti"), minima)
@@ -312,6 +337,17 @@ def _links(members: DataFrame, known: DataFrame, minima: DataFrame, sets: DataFr
     return links
 
 
+def _followed(links: DataFrame, known: DataFrame) -> DataFrame:
+    """(cid, g): members with one ``g`` are connected.  Each follows its most central pivot, in up to four steps."""
+    best = F.max(F.struct("score", F.col("b").alias("cid")))
+    parents = links.join(known.select(F.col("cid").alias("b"), "score"), "b").groupBy("a").agg(best.alias("p"))
+    parents = parents.select(F.col("a").alias("cid"), F.col("p.cid").alias("g"))
+    for _ in range(2):
+        further = parents.select(F.col("cid").alias("g"), F.col("g").alias("next"))
+        parents = parents.join(further, "g", "left").select("cid", F.coalesce("next", "g").alias("g"))
+    return parents
+
+
 def _alike(pairs: DataFrame, minima: DataFrame) -> DataFrame:
     """Pairs of which enough minima agree."""
     agree = F.aggregate(F.zip_with("ma", "mb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
