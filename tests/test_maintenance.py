@@ -7,6 +7,7 @@ from tests.plans import plan_of
 from tidegate.operators import maintenance
 from tidegate.operators.ledger import read_ledger, record
 from tidegate.operators.maintenance import (
+    catalog_partitions,
     compact,
     compaction_plan,
     drop_partitions,
@@ -15,6 +16,7 @@ from tidegate.operators.maintenance import (
     stored_files,
     stored_partitions,
 )
+from tidegate.operators.sinks import add_partitions
 from tidegate.plans.queries import register, unique
 from tidegate.sources import TableColumn
 from tidegate.storage import fresh_path, stage
@@ -167,3 +169,29 @@ def test_orphans_and_drop(spark):
     assert drop_partitions(spark, table, found, ["m", "n"], batch=1) == 2
     assert [r["id"] for r in spark.table(table).collect()] == [2]
     assert spark.read.parquet(path).count() == 3
+
+
+def test_the_catalogs_list_of_partitions(spark):
+    path = fresh_path(spark, "catalog")
+    values = ["01", "a:b c+d%", "it's/x=y", "é%2B", "two\nlines", None]
+    columns = [TableColumn("id", "bigint"), TableColumn("p q", "string", True), TableColumn("n", "int", True)]
+    spark.createDataFrame([(i, v, i) for i, v in enumerate(values)], "id long, `p q` string, n int").write.partitionBy(
+        "p q", "n"
+    ).parquet(path)
+    table = register(spark, "tidegate_test", unique("listed"), path, [TableColumn("id", "bigint"), TableColumn("p", "string", True), columns[2]])
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "p string, n int")
+    assert add_partitions(spark, table, rows, ["p", "n"]) == 6
+    found = catalog_partitions(spark, table)
+    assert {(r["p"], r["n"]) for r in found.collect()} == {(v, str(i)) for i, v in enumerate(values)}
+    assert "Scan" not in plan_of(found).replace("LocalTableScan", "")
+    with pytest.raises(ValueError):
+        catalog_partitions(spark, register(spark, "tidegate_test", unique("flat"), path, columns[:1]))
+
+
+def test_several_cutoffs_are_one_pass(spark):
+    days = spark.createDataFrame([("a", d) for d in range(1, 21)] + [("b", 1)], "table_name string, day int")
+    found = expired_partitions(days, [4, 100], "day", 10)
+    got = sorted((r["cutoff"], r["table_name"], r["day"]) for r in found.collect())
+    assert got == [(4, "a", d) for d in (1, 2, 3)] + [(100, "a", d) for d in range(1, 11)]
+    one = plan_of(expired_partitions(days, F.lit(4), "day", 10))
+    assert plan_of(expired_partitions(days, [4, 100], "day", 10)).count("Exchange") == one.count("Exchange")

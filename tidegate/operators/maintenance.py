@@ -16,11 +16,13 @@ from pyspark.sql import types as T
 from tidegate.functions.keys import partition_json, partition_key
 from tidegate.functions.names import quoted, quoted_table
 from tidegate.operators.sinks import CODEC
+from tidegate.sources.schema import partition_columns
 from tidegate.storage import stage
 
 # Fixed values of the maintenance calls.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 KEEP_NEWEST = 10
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def stored_files(spark: SparkSession, root: str, partition_cols: Sequence[str]) -> DataFrame:
@@ -48,6 +50,29 @@ def stored_partitions(spark: SparkSession, root: str, partition_cols: Sequence[s
     return stored_files(spark, root, partition_cols).select(*_columns(partition_cols)).distinct()
 
 
+def catalog_partitions(spark: SparkSession, identifier: str) -> DataFrame:
+    """Partition values that the catalog knows, as text, NULL for the folder of NULL.
+
+    The list is the catalog's own: no folder is listed and no file is looked at, so its cost follows the number of
+    partitions, not that of files or rows.
+    """
+    columns = partition_columns(spark, identifier)
+    if not columns:
+        raise ValueError(f"{identifier} has no partitions")
+    specs = spark.sql(f"SHOW PARTITIONS {quoted_table(identifier)}").withColumn("parts", F.split("partition", "/"))
+    return specs.select([_folder_value(i).alias(c) for i, c in enumerate(columns)])
+
+
+def _folder_value(i: int) -> Column:
+    """The value in the ``i``-th folder name: after the ``=``, with ``%XX`` read back.
+
+    A plus is no blank in folder names, so it is kept from the URL rules.
+    """
+    raw = F.regexp_extract(F.col("parts")[i], "(?s)^[^=]*=(.*)$", 1)
+    text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw != NULL_FOLDER, text)
+
+
 def compaction_plan(
     spark: SparkSession,
     root: str,
@@ -146,12 +171,16 @@ def _rewrite(
 
 
 def expired_partitions(
-    partitions: DataFrame, cutoff: Column | str, date_column: str, keep: int = KEEP_NEWEST
+    partitions: DataFrame,
+    cutoff: Column | str | Sequence,
+    date_column: str,
+    keep: int = KEEP_NEWEST,
 ) -> DataFrame:
     """Partitions strictly older than the cutoff, never one of a table's ``keep`` newest dates.
 
     ``partitions`` has ``table_name`` and the date.  Each task hands on only the newest ``keep`` dates
-    per table, so a table with very many partitions does not end up in one task.
+    per table, so a table with very many partitions does not end up in one task.  Several cutoffs (a list of values)
+    are looked at in one pass; a column ``cutoff`` then tells them apart.
     """
     listed = partitions.select("table_name", date_column).distinct()
     newest = Window.partitionBy("table_name").orderBy(F.desc(date_column))
@@ -161,12 +190,11 @@ def expired_partitions(
         .groupBy("table_name")
         .agg(F.min(date_column).alias("_floor"))
     )
-    return (
-        listed.where(F.col(date_column) < cutoff)
-        .join(floor, "table_name")
-        .where(F.col(date_column) < F.col("_floor"))
-        .drop("_floor")
-    )
+    old = listed.join(floor, "table_name").where(F.col(date_column) < F.col("_floor")).drop("_floor")
+    if isinstance(cutoff, (list, tuple)):
+        old = old.withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in cutoff])))
+        return old.where(F.col(date_column) < F.col("cutoff"))
+    return old.where(F.col(date_column) < cutoff)
 
 
 def orphan_partitions(

@@ -19,11 +19,11 @@ from tidegate.operators import gates
 from tidegate.operators.casting import cast_to_columns
 from tidegate.operators.ledger import partitions, read_ledger, record
 from tidegate.operators.maintenance import (
+    catalog_partitions,
     compact,
     expired_partitions,
     orphan_partitions,
     stored_files,
-    stored_partitions,
 )
 from tidegate.operators.merge import merge_insert, new_rows
 from tidegate.operators.quality import (
@@ -594,23 +594,33 @@ def _file_counts(spark, path):
 
 
 def expiry(spark, sf_dir):
-    days = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("table_name"), day_key("ts").alias("anomesdia")
-    )
-    early = expired_partitions(days, F.lit(20240115), "anomesdia")
-    late = expired_partitions(days, F.lit(20240128), "anomesdia")
-    return early.withColumn("cutoff", F.lit(20240115)).unionAll(
-        late.withColumn("cutoff", F.lit(20240128))
+    """Days of each event type, from the catalog's list of partitions, against two cutoffs in one pass."""
+    path = fresh_path(spark, "expiry")
+    columns = [
+        TableColumn("event_id", "bigint"),
+        TableColumn("event_type", "string", True),
+        TableColumn("anomesdia", "int", True),
+    ]
+    identifier = register(spark, "tidegate_check", unique("events"), path, columns)
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", day_key("ts").alias("anomesdia"))
+    write_partitioned(rows, path, ["event_type", "anomesdia"])
+    add_partitions(spark, identifier, rows, ["event_type", "anomesdia"])
+    days = catalog_partitions(spark, identifier).select(
+        F.col("event_type").alias("table_name"), F.col("anomesdia").cast("int").alias("anomesdia")
     )
+    return expired_partitions(days, [20240115, 20240128], "anomesdia")
 
 
 def orphans(spark, sf_dir):
-    """Partitions on disk, found in the file listing, that the ledger was not told of."""
+    """Partitions that the catalog knows and the ledger was not told of."""
     path = daily_events(spark, sf_dir)
+    columns = [TableColumn("event_id", "bigint"), TableColumn("anomesdia", "int", True)]
+    identifier = register(spark, "tidegate_check", unique("events"), path, columns)
+    written = spark.read.parquet(path)
+    add_partitions(spark, identifier, written, ["anomesdia"])
     ledger = fresh_path(spark, "ledger")
-    told = spark.read.parquet(path).where("anomesdia <= 20240115")
-    record(told, ledger, "events", ["anomesdia"], AS_OF)
-    found = stored_partitions(spark, path, ["anomesdia"])
+    record(written.where("anomesdia <= 20240115"), ledger, "events", ["anomesdia"], AS_OF)
+    found = catalog_partitions(spark, identifier)
     rows = orphan_partitions(found, "events", ["anomesdia"], read_ledger(spark, ledger))
     return rows.withColumn("table_name", F.lit("events"))
 
