@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tidegate.llm import common, fill_in_middle, minhash, prefix_trie, queries
+from tidegate.llm import common, fill_in_middle, minhash, pii, prefix_trie, queries
 from tidegate.storage import stage
 
 RANDOM = random.Random(11)
@@ -178,3 +179,68 @@ def test_minima_estimate_the_similarity():
     values = minhash.minima(np.concatenate([one, two]), np.array([0, 1000]))
     agree = (values[0] == values[1]).mean()
     assert abs(agree - 900 / 1100) < 0.16
+
+
+def plain_base(text):
+    found = []
+    for number, kind in enumerate(pii.KINDS):
+        found += [(m.start(), number, m.end()) for m in pii.BASE[kind].finditer(text) if pii.valid(kind, m[0])]
+    return sorted(found)
+
+
+def test_base_spans_are_those_of_the_patterns():
+    pieces = ["a", "b-c", "@", "@@", ".", ".com", "_", "%x", "1", "0", "255", "256", "1.2.3.4", " ", "+1", "(2) 34", "-", "4111 1111 1111 1111", "é", "[at]", "\n"]
+    for _ in range(4000):
+        text = "".join(RANDOM.choices(pieces, k=RANDOM.randint(1, 25)))
+        assert pii.base_spans(text) == plain_base(text), text
+
+
+def test_loose_spans_are_all_found():
+    def found(text):
+        return [(pii.KINDS[k], text[s:e]) for s, k, e in pii.loose_spans(text, pii.base_spans(text))]
+
+    assert found("10[.]0[.]0[.]1 10[.]0[.]0[.]2") == [("ip", "10[.]0[.]0[.]1"), ("ip", "10[.]0[.]0[.]2")]
+    assert found("mail x [At] y.com, z(AT)q [dot] org") == [("email", "x [At] y.com"), ("email", "z(AT)q [dot] org")]
+    assert ("phone", "555-123-4568 2024") in found("call 555-123-4568 2024") and found("x 12-345-678") == [("phone", "12-345-678")]
+    assert ("card", "4111 1111 1111 1112") in found("4111 1111 1111 1112")
+    assert found("4111 1111 1111 1111 a@b.com") == []
+
+
+def test_long_runs_are_searched_in_linear_time():
+    zeros = "0" * 5000 + "1.1.1.1"
+    spans = pii.base_spans(zeros)
+    assert spans == [(0, 1, len(zeros))]
+    pii.votes_of(zeros, 0, 1, len(zeros), True)
+    begun = time.process_time()
+    for run in ("a", "1", "1.", "a.", "1 ", "+", "+1", "@", "a@", "[at]", "a[at]", "(1"):
+        text = run * (1_000_000 // len(run)) + " x@y.com 1.2.3.4"
+        pii.loose_spans(text, pii.base_spans(text))
+    assert time.process_time() - begun < 120
+
+
+def test_the_method_adds_spans_and_no_decoys(spark, tmp_path):
+    """Masked addresses like the open ones around them are added, card numbers with a wrong checksum are not."""
+    def card(good):
+        digits = [RANDOM.randrange(10) for _ in range(14)]
+        body = "4" + "".join(map(str, digits))
+        check = next(c for c in range(10) if pii.luhn(body + str(c)))
+        return body + str(check if good else (check + 1 + RANDOM.randrange(8)) % 10)
+
+    rows, masked, decoys = [], set(), set()
+    for i in range(400):
+        if i % 4 == 0:
+            rows.append((i, f"the server address 10[.]{i % 250}[.]3[.]{i % 199} is up"))
+            masked.add(i)
+        elif i % 4 == 1:
+            rows.append((i, f"the server address 10.{i % 250}.3.{i % 199} is up"))
+        else:
+            good = i % 4 == 2
+            rows.append((i, f"paid by card {card(good)} today"))
+            if not good:
+                decoys.add(i)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op7_pii(spark, str(tmp_path)).collect()}
+    added = {i for i, r in got.items() if r["spans"] and not r["n_ip"] and not r["n_card"]}
+    assert not added & decoys
+    assert len(added & masked) >= 0.9 * len(masked)
+    assert all(r["n_ip"] + r["n_card"] == 1 and r["spans"] for i, r in got.items() if i % 4 in (1, 2))

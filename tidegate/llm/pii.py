@@ -1,7 +1,8 @@
 """Personal data by weak supervision.
 
 Four base patterns (e-mail, IP address, card, phone) are always reported.  Looser patterns find further
-candidate spans: masked e-mails and addresses, digit groups that could be a phone or a card.  Labelers look
+candidate spans: masked e-mails and addresses, digit groups that could be a phone, card numbers with a wrong
+checksum.  Labelers look
 at every candidate, base spans included, and vote for, against or not at all: the strict pattern, a
 validator (checksum, ranges), a gazetteer (top-level domains, card and country prefixes), the words before
 the span and the characters around it.
@@ -14,14 +15,17 @@ which there are a bounded number, so nothing else reaches the driver.
 
 Spans are code points, end exclusive.  NULL and empty texts have none.  Repeated rows are each searched.
 A kind without candidates is left as its base.  An empty table gives no rows.  Texts of any length are
-searched whole.  Columns beside the two named are not read.
+searched whole, in time that grows with their length.  Columns beside the two named are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
-from collections.abc import Iterator
+import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,13 +45,20 @@ BASE = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 
-MASKED_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]+\x20?[\[({]at[\])}]\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|[\[({]dot[\])}])\x20?[A-Za-z0-9-]+)+",
-    re.IGNORECASE,
+# An e-mail is looked for from its mark to both sides, as a search from the left reads a long run of letters once
+# for each of them.  A run of digits can only match from its start, or not at all.
+LOCAL = string.ascii_letters + string.digits + "._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+
+MASK = re.compile(r"\x20?[\[({]at[\])}]\x20?", re.IGNORECASE)
+MASKED_DOMAIN = re.compile(
+    r"[A-Za-z0-9-]+(?:\x20?(?:\.|[\[({]dot[\])}])\x20?[A-Za-z0-9-]+)+", re.IGNORECASE
+)
+PHONE_SHAPE = re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}(?:[ .-][0-9]{3,4}){1,2}(?![0-9])")
+MASKED_IP = re.compile(
+    r"(?<![0-9])[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}(?![0-9])"
 )
-DIGIT_GROUPS = re.compile(r"\(?[0-9][0-9 ().\[\]-]{7,40}[0-9]")
-PHONE_SHAPE = re.compile(r"\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}(?:[ .-][0-9]{3,4}){1,2}")
-MASKED_IP = re.compile(r"[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}(?:\[\.\]|\(\.\))[0-9]{1,3}")
 
 # The gazetteers and cue words of the labelers.
 DOMAINS = {"com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu"}
@@ -88,35 +99,52 @@ def valid(kind: str, span: str) -> bool:
     return True
 
 
+def marked_spans(text: str, marks: Iterable[tuple[int, int]], domain: re.Pattern) -> list[tuple[int, int]]:
+    """Leftmost spans of a local part, a mark (given from left to right) and a domain; each reads its surroundings once."""
+    found, free = [], 0
+    for start, end in marks:
+        if start < free:
+            continue
+        first = free + len(text[free:start].rstrip(LOCAL))
+        after = domain.match(text, end) if first < start else None
+        if after:
+            found.append((first, after.end()))
+        free = after.end() if after else end
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all base spans, in order."""
     found = []
+    if "@" in text:
+        at = ((m.start(), m.end()) for m in re.finditer("@", text))
+        found += [(start, 0, end) for start, end in marked_spans(text, at, DOMAIN)]
     digit = re.search("[0-9]", text) is not None
-    for number, kind in enumerate(KINDS):
-        if (kind == "email" and "@" not in text) or (kind == "phone" and "+" not in text):
-            continue
-        if kind != "email" and not digit:
-            continue
-        for m in BASE[kind].finditer(text):
-            if valid(kind, m[0]):
-                found.append((m.start(), number, m.end()))
+    for number, pattern in ((1, IP_RUNS), (2, BASE["card"]), (3, BASE["phone"])):
+        if digit and (number != 3 or "+" in text):
+            found += [(m.start(), number, m.end()) for m in pattern.finditer(text) if valid(KINDS[number], m[0])]
     return sorted(found)
 
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates that are no base spans and overlap none."""
-    found = []
-    if "at]" in text or "at)" in text or "at}" in text or "AT" in text:
-        found += [(m.start(), 0, m.end()) for m in MASKED_EMAIL.finditer(text)]
-    for m in DIGIT_GROUPS.finditer(text):
-        if inner := MASKED_IP.search(m[0]):
-            found.append((m.start() + inner.start(), 1, m.start() + inner.end()))
-        elif inner := PHONE_SHAPE.fullmatch(m[0]):
-            found.append((m.start(), 3, m.end()))
-        elif 12 <= len(digits_of(m[0])) <= 19 and not re.search(r"[.()\[\]]", m[0]):
+    """All candidates that are no base spans and overlap none: masked e-mails and addresses, numbers in groups that
+    look like phones, and card shapes that fail the checksum."""
+    masks = ((m.start(), m.end()) for m in MASK.finditer(text))
+    found = [(start, 0, end) for start, end in marked_spans(text, masks, MASKED_DOMAIN)]
+    found += [(m.start(), 1, m.end()) for m in MASKED_IP.finditer(text)]
+    found += [(m.start(), 3, m.end()) for m in PHONE_SHAPE.finditer(text)]
+    for m in BASE["card"].finditer(text):
+        if 12 <= len(digits_of(m[0])) <= 19 and not valid("card", m[0]):
             found.append((m.start(), 2, m.end()))
-    taken = [(s, e) for s, _, e in base]
-    return [x for x in found if all(x[2] <= s or e <= x[0] for s, e in taken)]
+    # Base spans in order, with the furthest end up to each: a candidate looks at those that start before its end.
+    starts = [s for s, _, _ in base]
+    ends = list(itertools.accumulate((e for _, _, e in base), max))
+    free = []
+    for start, number, end in sorted(found):
+        before = bisect.bisect_left(starts, end)
+        if not before or ends[before - 1] <= start:
+            free.append((start, number, end))
+    return free
 
 
 def votes_of(text: str, start: int, number: int, end: int, is_base: bool) -> str:
@@ -128,7 +156,8 @@ def votes_of(text: str, start: int, number: int, end: int, is_base: bool) -> str
         checked = "y" if re.search(r"[a-z0-9](?:@|\x20?at\x20?)[a-z0-9]", plain) else "n"
         gazetteer = "y" if re.split(r"\.|dot", plain)[-1].strip() in DOMAINS else "n"
     elif kind == "ip":
-        parts = [int(p) for p in re.findall(r"[0-9]+", span)]
+        # Leading zeros, of which there may be thousands, don't count.
+        parts = [int(p.lstrip("0")[:4] or 0) for p in re.findall(r"[0-9]+", span)]
         checked = "y" if len(parts) == 4 and max(parts) <= 255 else "n"
         gazetteer = "n" if parts[0] in (0, 127) or parts[0] > 223 else "-"
     elif kind == "card":
@@ -151,7 +180,9 @@ def features_of(text: str, start: int, number: int, end: int) -> str:
     marks = "".join(c for c in "+@([.- " if c in span)
     before = text[max(0, start - CUE_REACH) : start].lower()
     cue = int(any(c in before for c in CUES[KINDS[number]]))
-    return f"{n_digits}|{marks}|{cue}"
+    # Checksum or range, and prefix or ending, as the labelers see them.
+    checked, known = votes_of(text, start, number, end, False)[1:3]
+    return f"{n_digits}|{marks}|{cue}|{checked}|{known}"
 
 
 def search(docs: DataFrame) -> DataFrame:
