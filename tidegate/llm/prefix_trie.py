@@ -85,6 +85,8 @@ def numbered(conversations: DataFrame) -> DataFrame:
     )
     spanning = spanning.select("conv_id", "parts", F.explode("parts").alias("part"))
     offsets = spanning.select("conv_id", F.col("part.task").alias("task"), before.alias("before")).where("before > 0")
+    # At most a row a task; kept, as the numbered turns are read more than once.
+    offsets = stage(offsets.coalesce(1), "trie-offsets").frame
     return counted.frame.join(F.broadcast(offsets), ["conv_id", "task"], "left").select(
         "conv_id", (F.col("at") + F.coalesce("before", F.lit(0))).alias("pos"), "token"
     )
