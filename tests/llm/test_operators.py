@@ -358,3 +358,39 @@ def test_toxicity_learns_and_handles_odd_input(spark, docs, none):
     empty = toxicity.fit(toxicity.labelled(none, labels))
     assert {round(r["score"], 3) for r in toxicity.score(docs, empty).collect()} == {0.5}
     assert toxicity.score(none, model).count() == 0
+
+
+def test_toxicity_sees_a_phrase_of_ordinary_words(spark):
+    rows = []
+    for i in range(400):
+        words = sentence(30).split()
+        # Both kinds have the two words; only toxic ones have them side by side.
+        words[5:5] = ["get", "lost"] if i % 2 else ["lost"]
+        words[20:20] = [] if i % 2 else ["get"]
+        rows.append((i, " ".join(words) if i % 3 else "\n\t ".join(words), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(toxicity.labelled(df.where("doc_id < 300"), df.select("doc_id", "toxic")))
+    found = toxicity.score(df, model).join(df, "doc_id").where("doc_id >= 300").collect()
+    assert sum((r["score"] >= 0.5) == (r["toxic"] == 1) for r in found) >= 95
+
+
+def test_toxicity_scores_are_those_of_the_plain_vectors(spark):
+    rows = [(i, sentence(12) + (" vile" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(60)]
+    rows += [(60, "x " * 200_000, 0), (61, None, 0), (62, "", 0), (63, "ab", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(toxicity.labelled(df, df.select("doc_id", "toxic")))
+    share = 20 / 64
+    for r in toxicity.score(df, model).collect():
+        text = " " + " ".join((rows[r["doc_id"]][1] or "").lower().split()) + " "
+        x = np.zeros(1 << toxicity.BITS)
+        for n in toxicity.SIZES:
+            for gram in {text[a : a + n] for a in range(len(text) - n + 1)} if text.strip() else ():
+                h = 0
+                for c in gram:
+                    h = (h * 0x01000193 + ord(c) * 0x9E3779B1) % 2**32
+                h ^= h >> 15
+                x[((h * 0x85EBCA77 + n) % 2**32) >> (32 - toxicity.BITS)] = 1
+        x *= model.ratio
+        length = np.sqrt(x @ x)
+        want = 1 / (1 + np.exp(-(x @ model.weight / length + model.intercept))) if length else share
+        assert abs(r["score"] - want) < 1e-9

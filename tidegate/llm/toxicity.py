@@ -1,24 +1,24 @@
-"""Toxicity by naive Bayes word scores over character n-grams, weighed by a logistic regression on five numbers.
+"""Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-This is not a linear classifier over n-grams scaled by log-count ratios: no weight of a single n-gram is
-learned beside its ratio.
-
-Features are character n-grams of the distinct words of a text, lower-cased, each word with its ends
-marked, so repeats do not count and no n-gram crosses a space: a toxic phrase of ordinary words is not seen.
-They are hashed to ``2**BITS`` columns.
+Features are character n-grams of a text, lower-cased, runs of white space made one space and the ends marked
+by one, so n-grams cross spaces.  They are hashed to ``2**BITS`` columns; a column is in a text or not.
 
 1. Over all labelled training rows, tasks count in how many documents of either label each column is seen;
-   the sums (two numbers a column) come to the driver and give the log-count ratios ``r``.
-2. A word scores the mean ``r`` of its columns.  A text is reduced to its ``TOP`` highest word scores, the
-   logarithm of one plus the sum of what is above 1.0, and the mean.  A logistic regression is fitted on these five,
-   over at most ``FIT_ROWS`` training rows of each label, those with the smallest hashes of their ids and
-   texts.  This is the documented bound of the fit; the ratios, and all scores, cover all rows.
-3. Every document is scored.
-
-Labels other than 0 and 1 are left out; a document with several label rows counts with each.  NULL and
-empty texts have no words and get the intercept's score.  Without training rows of both labels every score
-is the share of label 1, or 0.5.  Ids are compared as text.  Columns of the input beside ``doc_id`` and
-``text`` are not read.
+   the sums (two numbers a column) come to the driver and give the log-count ratios ``r``.  Columns seen in
+   under ``MIN_DOCS`` documents have the ratio 0, so they say nothing.
+2. A text is the vector of ``r`` at its columns, scaled to length one.  Logistic regression fits one weight
+   a column, by accelerated gradient steps with a ridge ``RIDGE``, labels weighted alike.  It is fitted on at
+   most ``FIT_ROWS`` training rows of each label, those with the smallest hashes of their ids and texts, and
+   of these only as many as keep the sum of their lengths under ``FIT_CHARS``.  That is the
+   documented bound of the fit; the ratios, and all scores, cover all rows.
+3. Every document is scored over its whole text.
+
+Labels other than 0 and 1 are left out; a document with several label rows counts with each.  NULL, empty
+and blank texts, and others without a column that has a ratio, score the share of label 1 in the training
+rows.  So does everything if one of the labels has no training row (0.5 without any).  Texts of any length
+are read whole; a text takes memory in proportion to its length, one at a time.  Repeated rows are scored
+each and alike; an empty table has no scores.  Ids are compared as text.  Columns of the input beside
+``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -32,45 +32,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import text_of
+from tidegate.llm.common import free_shuffles, if_small, text_of
+from tidegate.storage import stage
 
 BITS = 18
-SIZES = (3, 4, 5)
-FIT_ROWS = 4000
+SIZES = (4, 5)
+MIN_DOCS = 3
 SMOOTHING = 1.0
-TOP = 3
+FIT_ROWS = 2000
+FIT_CHARS = 20_000_000
+RIDGE = 1e-4
+STEPS = 80
+#: Rows of the fit that are multiplied at a time.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weight of a column, and how a document's summary of word scores turns into a score."""
+    """The ratio of every column, its fitted weight, and the score of a text that says nothing."""
 
-    columns: np.ndarray
-    mix: np.ndarray
-    shift: np.ndarray
-    spread: np.ndarray
+    ratio: np.ndarray
+    weight: np.ndarray
     intercept: float
+    share: float
 
 
-def columns_of(text: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """The column of every n-gram of a text's distinct words, the word it is in, and how many words."""
-    words = sorted(set(text.lower().split()))
+def columns_of(text: str) -> np.ndarray:
+    """The distinct columns of a text's n-grams, ascending."""
+    words = text.lower().split()
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        return np.zeros(0, np.int32)
     codes = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    gaps = np.cumsum(codes == 32)
-    columns, owners = [], []
+    seen = np.zeros(1 << BITS, dtype=bool)
     hashes = np.zeros(len(codes), dtype=np.uint32)
-    for n in range(1, SIZES[-1] + 1):
+    for n in range(1, min(SIZES[-1], len(codes)) + 1):
         hashes = hashes[: len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1 :] * np.uint32(0x9E3779B1)
-        if n < SIZES[0]:
-            continue
-        # An n-gram may start or end with the mark between words, but not go over it.
-        inside = np.flatnonzero(gaps[n - 2 : len(codes) - 1] == gaps[: len(codes) - n + 1])
-        found = hashes[inside] ^ (hashes[inside] >> np.uint32(15))
-        columns.append((found * np.uint32(0x85EBCA77) + np.uint32(n)) >> np.uint32(32 - BITS))
-        owners.append(gaps[inside] - 1)
-    return np.concatenate(columns).astype(np.int64), np.concatenate(owners), len(words)
+        if n >= SIZES[0]:
+            found = hashes ^ (hashes >> np.uint32(15))
+            seen[(found * np.uint32(0x85EBCA77) + np.uint32(n)) >> np.uint32(32 - BITS)] = True
+    return np.flatnonzero(seen).astype(np.int32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -79,31 +79,67 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string").alias("_id"), F.col("toxic").cast("int").alias("toxic")
     )
     texts = docs.select(F.col("doc_id").cast("string").alias("_id"), text_of().alias("text"))
-    return texts.join(known, "_id")
+    return texts.join(if_small(known), "_id")
 
 
 def fit(training: DataFrame) -> Model:
-    """``training`` has ``_id``, ``text`` and ``toxic``; it is read twice."""
-    counts, rows = _counts(training)
+    """``training`` has ``_id``, ``text`` and ``toxic``; it is made once, and staged while the fit runs."""
+    spark = training.sparkSession
+    staged = stage(training.select("_id", "text", "toxic"), "toxicity-training")
+    free_shuffles(spark)
+    counts, rows = _counts(staged.frame)
+    share = float(rows[1] / rows.sum()) if rows.sum() else 0.5
     if not rows[0] or not rows[1]:
-        share = rows[1] / sum(rows) if sum(rows) else 0.5
-        logit = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-        return Model(np.zeros(1 << BITS), np.zeros(TOP + 2), np.zeros(TOP + 2), np.ones(TOP + 2), logit)
-    clean = (counts[0] + SMOOTHING) / (rows[0] + 2 * SMOOTHING)
-    toxic = (counts[1] + SMOOTHING) / (rows[1] + 2 * SMOOTHING)
-    ratio = np.log(toxic / (1 - toxic)) - np.log(clean / (1 - clean))
-    ratio[(counts[0] + counts[1]) < 3] = 0.0
-
-    place = F.xxhash64("_id", "text")
-    sample = None
+        nothing = np.zeros(1 << BITS)
+        model = Model(nothing, nothing, 0.0, share)
+    else:
+        toxic = (counts[1] + SMOOTHING) / (rows[1] + 2 * SMOOTHING)
+        clean = (counts[0] + SMOOTHING) / (rows[0] + 2 * SMOOTHING)
+        ratio = np.log(toxic / (1 - toxic)) - np.log(clean / (1 - clean))
+        ratio[counts.sum(axis=0) < MIN_DOCS] = 0.0
+        weight, intercept = _regression(*_sample(staged.frame, ratio), ratio)
+        model = Model(ratio, weight, intercept, share)
+    staged.release()
+    return model
+
+
+def _sample(training: DataFrame, ratio: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns with a ratio, and labels, of the rows of the fit.  Rows are chosen by narrow columns alone."""
+    keyed = training.withColumn("h", F.xxhash64("_id", "text")).withColumn("size", F.length("text"))
+    chosen = []
     for label in (0, 1):
-        one = training.where(F.col("toxic") == label).select("_id", "text", "toxic")
-        one = one.withColumn("h", place).orderBy("h").limit(FIT_ROWS).drop("h")
-        sample = one if sample is None else sample.unionAll(one)
-    found = _summaries(sample, ratio).toPandas()
-    y = found["toxic"].to_numpy(float)
-    x = np.array(found["x"].tolist())
-    return _regression(x, y, ratio, prior=rows[1] / sum(rows))
+        one = keyed.where(F.col("toxic") == label).select("h", "size").orderBy("h", "size").limit(FIT_ROWS)
+        room = FIT_CHARS // 2
+        for row in one.collect():
+            room -= row["size"]
+            if room < 0:
+                break
+            chosen.append((row["h"], label))
+    spark = training.sparkSession
+    wanted = spark.createDataFrame(sorted(set(chosen)), "h long, toxic int")
+    sent = spark.sparkContext.broadcast(ratio != 0)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [columns_of(t) for t in batch["text"].to_pylist()]
+            found = [c[sent.value[c]] for c in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch["h"], batch["toxic"], pa.array(found, pa.list_(pa.int32()))], names=["h", "toxic", "c"]
+            )
+
+    rows = keyed.select("h", "toxic", "text").join(F.broadcast(wanted), ["h", "toxic"])
+    # Repeated rows share a hash; each row chosen counts once.
+    cut_rows = rows.dropDuplicates(["h", "toxic"]).mapInArrow(cut, "h long, toxic int, c array<int>")
+    found = cut_rows.toArrow().sort_by([("h", "ascending"), ("toxic", "ascending")])
+    columns = [c for chunk in found["c"].chunks for c in _parts(chunk)]
+    kept = [i for i, c in enumerate(columns) if len(c)]
+    labels = found["toxic"].to_numpy()
+    return [columns[i] for i in kept], labels[kept].astype(float)
+
+
+def _parts(lists: pa.ListArray) -> list[np.ndarray]:
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return np.split(values, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1])
 
 
 def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -113,9 +149,7 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 rows[toxic] += 1
-                flags = np.zeros(1 << BITS, dtype=bool)
-                flags[columns_of(text)[0]] = True
-                seen[toxic] += flags
+                seen[toxic][columns_of(text)] += 1
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [
@@ -144,51 +178,53 @@ def _counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out, rows
 
 
-def summary(text: str, weights: np.ndarray) -> np.ndarray:
-    """Of the mean column weights of a text's words: the strongest, the sum of strong ones, the mean."""
-    columns, owners, n = columns_of(text)
-    out = np.zeros(TOP + 2)
-    if not n:
-        return out
-    sums = np.bincount(owners, weights=weights[columns], minlength=n)
-    scores = sums / np.maximum(np.bincount(owners, minlength=n), 1)
-    top = np.sort(np.partition(scores, -min(TOP, n))[-TOP:])[::-1]
-    out[: len(top)] = top
-    out[TOP] = np.log1p(np.clip(scores - 1.0, 0, None).sum())
-    out[TOP + 1] = scores.mean()
-    return out
-
-
-def _summaries(rows: DataFrame, weights: np.ndarray) -> DataFrame:
-    sent = rows.sparkSession.sparkContext.broadcast(weights)
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [summary(t, sent.value).tolist() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["toxic"], pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"]
-            )
-
-    return rows.select("toxic", "text").mapInArrow(summed, "toxic int, x array<double>")
-
-
-def _regression(x: np.ndarray, y: np.ndarray, weights: np.ndarray, prior: float) -> Model:
-    """Logistic regression by Newton steps with a small ridge, labels weighted alike."""
-    shift, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.hstack([(x - shift) / spread, np.ones((len(x), 1))])
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    beta = np.zeros(z.shape[1])
-    ridge = np.full(z.shape[1], 1e-3)
-    ridge[-1] = 0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        slope = z.T @ (weight * (p - y)) + ridge * beta
-        curve = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(ridge + 1e-9)
-        step = np.linalg.solve(curve, slope)
-        beta -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return Model(weights, beta[:-1], shift, spread, float(beta[-1]))
+class Rows:
+    """The vectors of the fit, kept as columns alone: their values follow from the ratios."""
+
+    def __init__(self, columns: list[np.ndarray], ratio: np.ndarray):
+        self.ratio = ratio
+        lengths = np.array([np.sqrt((ratio[c] ** 2).sum()) for c in columns])
+        self.chunks = [
+            (i, columns[i : i + CHUNK], 1 / lengths[i : i + CHUNK]) for i in range(0, len(columns), CHUNK)
+        ]
+        self.n = len(columns)
+
+    def times(self, weight: np.ndarray) -> np.ndarray:
+        scaled = weight * self.ratio
+        return np.concatenate([[scaled[c].sum() * x for c, x in zip(cs, xs)] for _, cs, xs in self.chunks])
+
+    def back(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.ratio))
+        for i, columns, inverse in self.chunks:
+            each = np.repeat(values[i : i + len(columns)] * inverse, [len(c) for c in columns])
+            out += np.bincount(np.concatenate(columns), weights=each, minlength=len(out))
+        return out * self.ratio
+
+
+def _regression(columns: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression with a ridge."""
+    weight, intercept = np.zeros(len(ratio)), 0.0
+    if not len(y) or y.all() or not y.any():
+        return weight, intercept
+    rows = Rows(columns, ratio)
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    # Vectors have length one, and shares sum to one: no curve of the loss is over (1 + 1) / 4.
+    step = 1 / (0.5 + RIDGE)
+    ahead, ahead_intercept, pace = weight, intercept, 1.0
+    for _ in range(STEPS):
+        off = share * (_logistic(rows.times(ahead) + ahead_intercept) - y)
+        next_weight = ahead - step * (rows.back(off) + RIDGE * ahead)
+        next_intercept = ahead_intercept - step * off.sum()
+        next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        push = (pace - 1) / next_pace
+        ahead = next_weight + push * (next_weight - weight)
+        ahead_intercept = next_intercept + push * (next_intercept - intercept)
+        weight, intercept, pace = next_weight, next_intercept, next_pace
+    return weight, float(intercept)
+
+
+def _logistic(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -197,9 +233,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        used = sent.value
         for batch in batches:
-            found = [_score(summary(t, used.columns), used) for t in batch["text"].to_pylist()]
+            found = [score_of(t, sent.value) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.float64())], names=["doc_id", "score"]
             )
@@ -213,13 +248,16 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
 
     @F.pandas_udf("double")
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        used = sent.value
         for batch in texts:
-            yield pd.Series([_score(summary(t, used.columns), used) for t in batch])
+            yield pd.Series([score_of(t, sent.value) for t in batch], dtype=float)
 
     return docs.where(scores(text_of()) < threshold)
 
 
-def _score(found: np.ndarray, model: Model) -> float:
-    logit = float(((found - model.shift) / model.spread) @ model.mix) + model.intercept
-    return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+def score_of(text: str, model: Model) -> float:
+    columns = columns_of(text)
+    values = model.ratio[columns]
+    length = np.sqrt((values**2).sum())
+    if not length:
+        return model.share
+    return float(_logistic((values * model.weight[columns]).sum() / length + model.intercept))
