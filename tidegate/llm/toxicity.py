@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import free_shuffles, if_small, text_of
+from tidegate.llm.common import free_shuffles, text_of
 from tidegate.storage import stage
 
 BITS = 18
@@ -74,12 +74,15 @@ def columns_of(text: str) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with their label; ids are compared as text, so their types may differ."""
+    """Texts with their label; ids are compared as text, so their types may differ.
+
+    Both grow with the corpus, so they meet in one shuffle at every size.
+    """
     known = labels.where("toxic IN (0, 1)").select(
         F.col("doc_id").cast("string").alias("_id"), F.col("toxic").cast("int").alias("toxic")
     )
     texts = docs.select(F.col("doc_id").cast("string").alias("_id"), text_of().alias("text"))
-    return texts.join(if_small(known), "_id")
+    return texts.join(known.hint("merge"), "_id")
 
 
 def fit(training: DataFrame) -> Model:
