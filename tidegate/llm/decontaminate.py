@@ -4,16 +4,17 @@ Benchmark items are cut into windows of ``WINDOW`` words; an item of fewer is on
 make a hash table: buckets of (window, items) that go to the tasks as a constant of the plan.  A document
 is decided in its own row: for each of its words and each window length the window's hash picks a bucket,
 and only where the bucket is not empty are the words themselves compared, so a hit is a hit.  A bucket is
-a text of (window, items), marked off by control characters, which no word has.  Nothing is
-shuffled, and a hot passage costs what any other does.
+a text of (window, items), marked off by control characters, which no word has; item ids stand there in hex, so
+they may be any text.  Nothing is shuffled, and a hot passage costs what any other does.
 
 The table is used while the benchmark has at most ``TABLE_BYTES`` of windows.  Beyond that, documents
 that hold a window whose hash is in the benchmark are found by a shuffle join on the hash.
 
 Words are ``WORD`` after lower-casing A-Z.  NULL and empty texts have no words, no hits and no items.
-Repeated rows are decided each; items with NULL ids count for hits but not as items.  An empty benchmark
-hits nothing.  Columns of the input are kept; those added are named in ``ADDED`` and replace others of
-these names.
+Repeated rows are decided each; items with NULL ids count for hits but not as items, and the empty id is an id like
+others.  An empty benchmark hits nothing; no documents give no rows.  A text of any length is decided whole,
+in memory of ``WINDOW`` times its length.  Columns of the input are kept, whatever their names; those that
+``contamination`` adds are named in ``ADDED`` and replace others of these names.
 """
 
 from __future__ import annotations
@@ -61,44 +62,54 @@ def contamination(
 ) -> DataFrame:
     """``docs`` with the number of words, the places of hit words (from 1), their number, the sorted ids of
     items with occurring windows, and whether at least a twentieth of the words is hit."""
-    windows = benchmark_windows(benchmark, window)
-    size = windows.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("w") + F.length(F.array_join("items", ",")) + 32).alias("b")
-    ).first()
-    base = docs.drop(*ADDED)
-    if (size["b"] or 0) <= table_bytes:
-        found = _by_table(base, windows, size["n"])
-    else:
-        found = _by_join(base, windows)
-    return _decided(found)
+    kept = [f"_doc.`{c}`" for c in docs.columns if c not in ADDED]
+    return _judged(docs, benchmark, window, table_bytes).select(*kept, *ADDED)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, columns as they were."""
-    judged = contamination(docs, benchmark, window)
+    judged = _judged(docs, benchmark, window)
     # A plain filter would be pushed below the columns it is made of, and work the words out again for every
     # window; a generator of one row or none is not moved.
     kept = F.when(F.col("contaminated"), F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
-    return judged.withColumn("_kept", F.explode(kept)).select(docs.columns)
+    return judged.withColumn("kept", F.explode(kept)).select("_doc.*")
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, hit words taken out of their texts with what stands before them."""
-    judged = contamination(docs, benchmark, window)
+    judged = _judged(docs, benchmark, window)
     letters = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     # Columns of their own, so that they are not worked out again for every word.
-    parted = judged.withColumn("_w", F.regexp_extract_all(text_of(), F.lit(letters), F.lit(0))).withColumn(
-        "_gaps", F.split(text_of(), letters)
+    parted = judged.withColumn("parts", F.regexp_extract_all("_text", F.lit(letters), F.lit(0))).withColumn(
+        "gaps", F.split("_text", letters)
+    )
+    places = F.when(F.size("parts") > 0, F.sequence(F.lit(1), F.size("parts"))).otherwise(
+        F.array().cast("array<int>")
     )
     left = F.transform(
-        "_w",
-        lambda w, i: F.when(F.array_contains("hit_words", i + 1), F.lit("")).otherwise(
-            F.concat(F.get("_gaps", i), w)
-        ),
+        F.array_except(places, "hit_words"), lambda i: F.concat(F.get("gaps", i - 1), F.get("parts", i - 1))
+    )
+    rest = F.coalesce(F.get("gaps", F.size("parts")), F.lit(""))
+    text = F.when(F.size("hit_words") == 0, F.col("_doc.text")).otherwise(F.concat(F.array_join(left, ""), rest))
+    return parted.withColumn("cleaned", text).select(
+        [F.col("cleaned").alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in docs.columns]
     )
-    rest = F.coalesce(F.get("_gaps", F.size("_w")), F.lit(""))
-    text = F.when(F.size("hit_words") == 0, F.col("text")).otherwise(F.concat(F.array_join(left, ""), rest))
-    return parted.withColumn("text", text).select(docs.columns)
+
+
+def _judged(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, table_bytes: int = TABLE_BYTES
+) -> DataFrame:
+    """The input's rows as ``_doc`` (in one column, so that no name clashes), its texts, and ``ADDED``."""
+    windows = benchmark_windows(benchmark, window)
+    size = windows.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("w") + F.length(F.array_join("items", ",")) + 32).alias("b")
+    ).first()
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), text_of().alias("_text"))
+    if (size["b"] or 0) <= table_bytes:
+        found = _by_table(base, windows, size["n"])
+    else:
+        found = _by_join(base, windows)
+    return _decided(found)
 
 
 def _starts(words: Column, n_words: int) -> Column:
@@ -118,9 +129,10 @@ def _by_table(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     lengths = sorted({r["n"] for r in rows})
     table = [""] * buckets
     for r in sorted(rows, key=lambda r: (r["n"], r["w"])):
-        table[r["h"] % buckets] += f"\x01{r['w']}\x02{chr(3).join(r['items'])}"
+        ids = chr(3).join("i" + i.encode("utf-8").hex() for i in r["items"])
+        table[r["h"] % buckets] += f"\x01{r['w']}\x02{ids}"
     held = F.split(F.lit("\n".join(table)), "\n")
-    docs = docs.withColumn("_words", words_of(text_of()))
+    docs = docs.withColumn("_words", words_of(F.col("_text")))
     words = F.col("_words")
 
     def bucket(w: Column) -> Column:
@@ -132,7 +144,8 @@ def _by_table(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     def items(w: Column) -> Column:
         behind = F.get(F.split(bucket(w), F.concat(F.lit("\\Q"), entry(w), F.lit("\\E"))), F.lit(1))
         found = F.substring_index(behind, "\x01", 1)
-        return F.filter(F.split(found, "\x03"), lambda i: i != "")
+        marked = F.filter(F.split(found, "\x03"), lambda i: i != "")
+        return F.transform(marked, lambda i: F.decode(F.unhex(F.substr(i, F.lit(2))), "UTF-8"))
 
     def hits_of(n_words: int) -> Column:
         found = F.filter(
@@ -152,8 +165,8 @@ def _by_table(docs: DataFrame, windows: DataFrame, n: int) -> DataFrame:
 
 def _by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Hits found by a shuffle join, for benchmarks of any size."""
-    docs = docs.withColumn("_row", F.struct(F.xxhash64(text_of()), F.md5(text_of()), F.length(text_of())))
-    texts = docs.select("_row", text_of().alias("_text")).groupBy("_row").agg(F.min("_text").alias("_text"))
+    docs = docs.withColumn("_row", F.struct(F.xxhash64("_text"), F.md5("_text"), F.length("_text")))
+    texts = docs.select("_row", "_text").groupBy("_row").agg(F.min("_text").alias("_text"))
     texts = texts.select("_row", words_of(F.col("_text")).alias("_words"))
     cut = None
     for n_words in [r["n"] for r in windows.select("n").distinct().collect()]:
@@ -170,7 +183,7 @@ def _by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return (
         docs.join(hits, "_row", "left")
         .withColumn("_hits", F.coalesce("_hits", F.array().cast(HITS)))
-        .withColumn("n_words", F.size(words_of(text_of())).cast("long"))
+        .withColumn("n_words", F.size(words_of(F.col("_text"))).cast("long"))
         .drop("_row")
     )
 

@@ -27,7 +27,8 @@ Comparison is on whole sets of 64-bit shingle hashes: intersection and union siz
 A text without words (NULL, empty, blank) has an empty set, which is linked with nothing; a text of fewer
 than five words has its whole word sequence as the only shingle.  Rows with one ``doc_id`` are one document
 with several sets: they share a component.  Rows whose ``doc_id`` is NULL have the component NULL and link
-nothing.  An empty table gives no rows.  Other columns are not read.
+nothing.  An empty table gives no rows.  Other columns are not read, and kept by ``first_of_each`` whatever their
+names.  Texts of any length are read whole, in memory in proportion to their length.
 """
 
 from __future__ import annotations
@@ -148,9 +149,11 @@ def join_classes(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest ``doc_id``, columns as they were."""
     found = join_classes(docs.select("doc_id", "text"))
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
     dropped = stage(dropped, "jaccard-dropped").frame
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(docs.columns)
+    # The input in one column, so that no name clashes.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").alias("id"))
+    return rows.join(dropped, F.col("id") == F.col("dropped"), "left_anti").select("doc.*")
 
 
 def _sized(docs: DataFrame) -> DataFrame:

@@ -44,31 +44,27 @@ def mix(
     (``copies``) and the words it takes (``taken``)."""
     spark = docs.sparkSession
     base = docs.drop(*ADDED)
-    sized = base.withColumn("size", F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
-    rows = stage(
-        sized.select("source", "size", _draw(seed).alias("draw")), "mix-sizes"
-    ).frame
-    plan = stage(_thresholds(rows, source_targets(rows, weights, share, max_epochs)), "mix-plan").frame
-    plan = plan.select(
-        F.col("source").alias("_source"), "source_size", "target", "whole", "upto"
-    )
-    joined = sized.withColumn("_draw", _draw(seed)).join(
-        if_small(plan), F.col("source").eqNullSafe(F.col("_source")), "left"
-    )
-    copies = F.col("whole") + F.when(F.col("_draw") <= F.col("upto"), 1).otherwise(0)
-    return (
-        joined.withColumn("copies", copies.cast("int"))
-        .withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
-        .drop("_source", "_draw", "whole", "upto")
+    # The input in one column, so that no name clashes.
+    sized = base.select(
+        F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("doc"),
+        F.col("source").alias("own_source"),
+        F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
+        _draw(seed).alias("draw"),
     )
+    rows = stage(sized.select(F.col("own_source").alias("source"), "size", "draw"), "mix-sizes").frame
+    plan = stage(_thresholds(rows, source_targets(rows, weights, share, max_epochs)), "mix-plan").frame
+    joined = sized.join(if_small(plan.drop("size")), F.col("own_source").eqNullSafe(F.col("source")), "left")
+    copies = (F.col("whole") + F.when(F.col("draw") <= F.col("upto"), 1).otherwise(0)).cast("int")
+    made = joined.withColumn("copies", copies).withColumn("taken", (F.col("size") * F.col("copies")).cast("long"))
+    return made.select(*[f"doc.`{c}`" for c in base.columns], *ADDED)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it, without the columns that ``mix`` added."""
-    rows = mixed.where("copies > 0").withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))
-    )
-    return rows.drop("_copy", *ADDED)
+    kept = [c for c in mixed.columns if c not in ADDED]
+    doc = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
+    rows = mixed.where("copies > 0").select(doc, F.explode(F.array_repeat(F.lit(1), F.col("copies"))))
+    return rows.select("doc.*")
 
 
 def source_targets(

@@ -1,4 +1,4 @@
-"""The queries of the ten operators over whole tables: digests of what the operators return."""
+"""The queries of the operators over whole tables: digests of what the operators return, and SQL for some."""
 
 from __future__ import annotations
 
@@ -206,4 +206,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_minhash_dedup": op12_minhash_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
-ORACLE: dict[str, str] = {}
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    return rf"regexp_extract_all({_lower(text)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _first_rule(then: Callable[[url_cascade.Rule], str], default: str) -> str:
+    longest = sorted(URL_RULES, key=lambda r: -len(r.key))
+    whens = [
+        f"WHEN ('.' || host) LIKE '%.{r.host}' AND starts_with(path, '{r.path}') THEN '{then(r)}'" for r in longest
+    ]
+    return f"CASE {' '.join(whens)} ELSE {default} END"
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {_words("coalesce(text, '')")} AS words FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("coalesce(text, '')")} AS words FROM benchmark),
+starts AS (
+    SELECT item, words, least(len(words), {decontaminate.WINDOW}) AS n,
+           unnest(range(1, len(words) - least(len(words), {decontaminate.WINDOW}) + 2)) AS pos
+    FROM b WHERE len(words) > 0
+),
+windows AS (SELECT DISTINCT item, n, array_to_string(words[pos:pos + n - 1], ' ') AS w FROM starts),
+places AS (
+    SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS pos
+    FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n
+),
+hits AS (
+    SELECT doc_id, pos, n, item
+    FROM (SELECT doc_id, pos, n, array_to_string(words[pos:pos + n - 1], ' ') AS w FROM places) JOIN windows USING (n, w)
+),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS place FROM hits) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP4_SQL = f"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url, position('://' IN coalesce(url, '')) AS pos FROM pages),
+r AS (SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u),
+p AS (
+    SELECT page_id, {_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM r
+)
+SELECT page_id, host, path, {_first_rule(lambda r: r.key, "NULL")} AS rule,
+       {_first_rule(lambda r: r.verdict, f"'{url_cascade.ALLOW}'")} AS verdict
+FROM p
+"""
+
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op4_url_cascade": OP4_SQL}
