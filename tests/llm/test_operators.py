@@ -205,6 +205,22 @@ def test_chains_of_near_copies_and_a_group_of_copies(spark):
     assert rows_of(jaccard_join.join_classes(df)) == sorted(brute.jaccard_classes(rows))
 
 
+def test_short_texts_and_a_template_near_the_limit(spark):
+    few = WORDS[:6]
+    texts = [" ".join(RANDOM.choice(few) for _ in range(RANDOM.randint(1, 7))) for _ in range(1500)]
+    # Up to 12 words of few: sets of 4 to 8 shingles, of which many are alike.
+    texts += [" ".join((few * 3)[start : start + RANDOM.randint(8, 12)]) for start in range(6) for _ in range(30)]
+    base = sentence(80).split()
+    for _ in range(200):
+        words = list(base)
+        for place in RANDOM.sample(range(0, 80, 5), RANDOM.randint(1, 5)):
+            words[place] = RANDOM.choice(WORDS)
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(jaccard_join.join_classes(df)) == sorted(brute.jaccard_classes(rows))
+
+
 def test_signatures_meet_for_every_similar_pair():
     for n in (1, 2, 5, 9, 10, 14, 40, 200):
         for _ in range(40):

@@ -8,19 +8,22 @@ of one part but one, and a set has ``SECOND`` signatures a part, for its own ban
 
 Signatures of nothing say nothing, so they are left out.  That loses no pair: a part in which a set has
 such a signature is called bare; if a set has fewer bare parts than the parts that must agree, one of
-these is not bare.  Sets with more bare parts keep these signatures too, and a pair that could be missed is
-of two such sets.
+these is not bare.  Sets with more bare parts (small ones) also have their ``n - ceil(0.8 n) + 1`` smallest
+hashes as signatures: a pair that could be missed is of two such sets, and shares one of these.
 
-1. Sets are folded if equal: every later step works on one document for each set.
+1. Sets are folded if equal: every later step works on one class for each set, so a large group of copies
+   is one row.  Sets of under 4 shingles are done: unequal ones cannot reach the similarity.
 2. Of its ``n - ceil(0.8 n) + ceil(n / 10)`` smallest shingle hashes a set shares at least ``0.08 n`` with a
    similar one, which has them among its smallest too.  Sets that share fewer with any others are done.
-3. The others get signatures.  In a bucket of one signature, every member meets the smallest one; pairs
-   whose shingle counts by hash (64 counters) differ by more than ``k`` are dropped; each set is compared
-   with the first of those left.
-4. Buckets that still hold more than one linked group give all pairs of members in different groups, under
-   the same bound, and these are compared as well.  A bucket in one group is settled: its members are
-   connected, whatever its size, so a large group of copies costs one comparison a member.
-5. Groups are the connected components of all links.
+3. The others are made whole.  Shingles that none of the others has bound the size of a similar set; sets that
+   no size fits are done.  What is left gets signatures.  Buckets of equal members are one bucket.
+4. In a bucket, every member meets the pivot, the member that meets most others.  Pairs whose sizes or
+   parities (1024 bits of the set) are too far apart are dropped, the rest is compared.  Members that follow
+   the same pivots are of one group.
+5. In buckets that are not yet one group, the members outside the group of the pivot meet those of other
+   groups, under the same bounds, and these pairs are compared as well.  A bucket in one group is settled: its
+   members are connected, whatever its size.
+6. Groups are the connected components of all links.
 
 Comparison is on whole sets of 64-bit shingle hashes: intersection and union sizes, without rounding.
 
@@ -38,18 +41,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import free_shuffles, mixed, prefix_sums, span_hashes, text_of
+from tidegate.llm.common import free_shuffles, join_hot, mixed, prefix_sums, span_hashes, text_of
 from tidegate.llm.components import components
-from tidegate.storage import stage
+from tidegate.llm.minhash import _can_link, _confirmed, _followed, _linkable, _side, parities
+from tidegate.storage import Staged, stage
 
 SHINGLE = 5
 #: Similarity as a fraction of whole numbers, so that no rounding decides.
 PERCENT = 80
 SECOND = 3
-COUNTERS = 64
+#: Unequal sets of fewer shingles differ too much.
+LEAST_SIZE = 4
 
 
 def shingles(text: str) -> np.ndarray:
@@ -107,7 +112,8 @@ def signatures(sets: np.ndarray) -> np.ndarray:
         without = sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums
         filled = count.sum(axis=1, keepdims=True) - count > 0
         if (~filled.all(axis=1)).sum() >= must:
-            filled[:] = True
+            least = sets[: n - -(-n * PERCENT // 100) + 1]
+            out.append(mixed(least ^ mixed(np.array([~band], dtype=np.int64).view(np.uint64))))
         number = np.arange(n1 * SECOND, dtype=np.uint64).reshape(n1, SECOND)
         salt = mixed(number + np.uint64(band << 32))
         out.append(mixed(without ^ salt)[filled])
@@ -119,31 +125,41 @@ def join_classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sized = stage(_sized(docs), "jaccard-sized")
     rows = sized.frame
+    known = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = (
-        rows.where("n > 0 AND doc_id IS NOT NULL")
-        .groupBy("f1", "f2")
-        .agg(F.min(F.struct("doc_id", "key", "n")).alias("m"))
-        .select("f1", "f2", F.col("m.doc_id").alias("rep"), F.col("m.key").alias("key"), F.col("m.n").alias("n"))
+        known.groupBy("f1", "f2")
+        .agg(F.min(F.struct("doc_id", "key", "n")).alias("m"), F.count(F.lit(1)).alias("times"))
+        .select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "m.doc_id", "m.key", "m.n", "times")
     )
-    classes = stage(classes, "jaccard-classes").frame
-    seeds = stage(_sharing(rows, classes), "jaccard-seeds")
+    classes = stage(classes, "jaccard-classes")
+    seeds = stage(_sharing(rows, classes.frame), "jaccard-seeds")
     free_shuffles(spark)
     sets = stage(_sets(docs, seeds.frame), "jaccard-sets")
+    seeds.release()
     free_shuffles(spark)
-    links = stage(_links(sets.frame), "jaccard-links").frame
+    links = _links(sets.frame)
+    sets.release()
+    free_shuffles(spark)
+    numbers = classes.frame.select("cid", "doc_id")
+    linked = (
+        links.frame.join(numbers.toDF("a", "one"), "a").join(numbers.toDF("b", "two"), "b")
+    ).select(F.col("one").alias("a"), F.col("two").alias("b"))
+    first = classes.frame.select("f1", "f2", F.col("doc_id").alias("rep"), "times")
     copies = (
-        rows.join(classes, ["f1", "f2"])
+        join_hot(known.select("doc_id", "f1", "f2"), first, ["f1", "f2"])
         .where("doc_id <> rep")
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
-    found = components(links.select("a", "b").unionAll(copies)).groupBy("node").agg(
-        F.min("component").alias("component")
-    )
-    return rows.join(found, F.col("doc_id") == F.col("node"), "left").select(
+    found = components(linked.unionAll(copies)).groupBy("node").agg(F.min("component").alias("component"))
+    named = rows.join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
     )
+    named = stage(named, "jaccard-named").frame
+    for done in (sized, classes, links):
+        done.release()
+    return named
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
@@ -186,17 +202,18 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def _sharing(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Representatives that share enough of their smallest hashes with other documents."""
-    spread = rows.where("doc_id IS NOT NULL").select("doc_id", F.explode("least").alias("h"))
+    """Classes that share enough of their smallest hashes with other classes."""
+    chosen = classes.where(F.col("n") >= LEAST_SIZE).select("cid", "doc_id", "key")
+    spread = rows.join(chosen, ["doc_id", "key"]).select("cid", "n", F.explode("least").alias("h"))
     shared = (
         spread.groupBy("h")
-        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        .agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"))
         .where("lo < hi")
         .select("h")
     )
-    found = spread.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shares"))
+    found = spread.join(shared, "h", "left_semi").groupBy("cid", "n").agg(F.count(F.lit(1)).alias("shares"))
     enough = F.col("shares") * 100 >= F.col("n") * (PERCENT // 10)
-    return classes.join(found, F.col("rep") == F.col("doc_id")).where(enough).select("rep", "key")
+    return found.where(enough).join(classes.select("cid", "key"), "cid").select("cid", "key")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -208,82 +225,94 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Whole sets, signatures and counters of the representatives."""
+    """Whole sets, signatures and parities of the classes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"].to_pylist()]
-            counters = [
-                np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=COUNTERS), 32767)
-                for s in sets
-            ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["rep"],
+                    batch["cid"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([signatures(s) for s in sets], pa.list_(pa.int64())),
-                    pa.array([c.astype(np.int16) for c in counters], pa.list_(pa.int16())),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["rep", "n", "hashes", "signatures", "counters"],
+                names=["cid", "n", "hashes", "signatures", "bits"],
             )
 
     # Equal rows share a key; one of them is read.  The join has dealt the rows by key already.
-    texts = _keyed(docs).select("key", "text").join(seeds, "key").dropDuplicates(["key"]).select("rep", "text")
+    texts = _keyed(docs).select("key", "text").join(seeds, "key").dropDuplicates(["key"]).select("cid", "text")
     return texts.mapInArrow(
-        made,
-        "rep long, n long, hashes array<bigint>, signatures array<bigint>, counters array<smallint>",
+        made, "cid long, n long, hashes array<bigint>, signatures array<bigint>, bits array<bigint>"
     )
 
 
-def _close(a: str, b: str) -> Column:
-    """A bound that similar sets keep: sizes, and counters that are together at most ``k`` apart."""
-    one, two = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.aggregate(
-        F.zip_with(f"{a}.c", f"{b}.c", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
-        F.lit(0),
-        lambda total, x: total + x,
+def _bucket_members(spread: DataFrame) -> Staged:
+    """(s, cid, times) of every set in every bucket that holds others; of buckets of equal members, one is kept."""
+    sizes = spread.groupBy("s").agg(
+        F.count(F.lit(1)).alias("times"),
+        F.bit_xor(F.xxhash64("cid")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("y"),
     )
-    sizes = (100 * F.least(one, two) >= PERCENT * F.greatest(one, two))
-    return sizes & (apart * (100 + PERCENT) <= (one + two) * (100 - PERCENT))
-
-
-def _links(sets: DataFrame) -> DataFrame:
-    """Links that connect exactly what the links between all similar sets connect."""
-    spread = sets.select("rep", F.explode("signatures").alias("s"))
-    buckets = spread.groupBy("s").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    members = stage(spread.join(buckets.select("s", "lo"), "s"), "jaccard-buckets").frame
-    small = sets.select("rep", "n", F.col("counters").alias("c"))
-    pairs = members.where("rep <> lo").select(F.col("rep").alias("a"), F.col("lo").alias("b")).distinct()
-    near = _near(pairs, small).groupBy("a").agg(F.min("b").alias("b"))
-    first = stage(_compared(near, sets), "jaccard-first").frame
-    groups = stage(components(first.select("a", "b")), "jaccard-groups").frame
-    labelled = members.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "s", "rep", F.coalesce("component", "rep").alias("g")
+    kept = sizes.where("times > 1").groupBy("times", "x", "y").agg(F.min("s").alias("s"))
+    kept = stage(kept.select("s", "times", F.col("times").alias("size")), "jaccard-buckets")
+    members = join_hot(spread, kept.frame, ["s"]).select("s", "cid", F.col("size").alias("times"))
+    members = stage(members, "jaccard-members")
+    kept.release()
+    return members
+
+
+def _links(sets: DataFrame) -> Staged:
+    """Links (a, b) that connect exactly what the links between all similar sets connect."""
+    able = stage(_linkable(sets, sets.select("cid", F.lit(0).alias("score"))).drop("score"), "jaccard-able")
+    spread = sets.join(able.frame.select("cid"), "cid", "left_semi").select("cid", F.explode("signatures").alias("s"))
+    held = _bucket_members(spread)
+    members = held.frame
+    scores = stage(members.groupBy("cid").agg(F.sum("times").alias("score")), "jaccard-scores")
+    pivots = (
+        members.join(scores.frame, "cid")
+        .groupBy("s")
+        .agg(F.max(F.struct("score", "cid")).alias("p"), F.count(F.lit(1)).alias("times"))
+        .select("s", F.col("p.cid").alias("p"), "times")
     )
-    split = labelled.groupBy("s").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi")
-    open_rows = labelled.join(split.select("s"), "s").join(small, "rep")
-    open_rows = stage(open_rows.select("s", F.struct("rep", "g", "n", "c").alias("m")), "jaccard-open").frame
-    left = open_rows.select("s", F.col("m").alias("x"))
-    right = open_rows.select("s", F.col("m").alias("y"))
-    met = left.join(
-        right, (left["s"] == right["s"]) & (F.col("x.rep") > F.col("y.rep")) & (F.col("x.g") != F.col("y.g")) & _close("x", "y")
+    pivots = stage(pivots, "jaccard-pivots")
+    met = join_hot(members.select("s", "cid"), pivots.frame, ["s"]).where("cid <> p")
+    pairs = met.select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
+    tried = stage(_near(pairs, able.frame), "jaccard-tried")
+    first = stage(_confirmed(tried.frame, sets), "jaccard-first")
+    groups = stage(_followed(first.frame, scores.frame), "jaccard-groups")
+
+    labelled = members.select("s", "cid").join(groups.frame, "cid", "left").select(
+        "s", "cid", F.coalesce("g", "cid").alias("g")
     )
-    pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    rest = _compared(pairs.join(near, ["a", "b"], "left_anti"), sets)
-    return first.unionAll(rest)
-
-
-def _near(pairs: DataFrame, small: DataFrame) -> DataFrame:
-    with_a = pairs.join(small.select(F.col("rep").alias("a"), F.struct("n", "c").alias("x")), "a")
-    with_b = with_a.join(small.select(F.col("rep").alias("b"), F.struct("n", "c").alias("y")), "b")
-    return with_b.where(_close("x", "y")).select("a", "b")
-
-
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar: 100 * intersection >= PERCENT * union."""
-    one = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("ha"))
-    two = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("hb"))
-    both = F.size(F.array_intersect("ha", "hb"))
-    union = F.size("ha") + F.size("hb") - both
-    return pairs.join(one, "a").join(two, "b").where(100 * both >= PERCENT * union).select("a", "b")
+    of_pivot = pivots.frame.join(groups.frame, F.col("p") == F.col("cid"), "left").select(
+        "s", "times", F.coalesce("g", "p").alias("pg")
+    )
+    sided = stage(join_hot(labelled, stage(of_pivot, "jaccard-sides").frame, ["s"]), "jaccard-labelled")
+    outside = stage(sided.frame.where("g <> pg").select("s", "cid", "g"), "jaccard-outside")
+    # Members of the pivot's group meet only those outside; two outside meet once.
+    opened = stage(outside.frame.groupBy("s").agg(F.count(F.lit(1)).alias("times")), "jaccard-open")
+    inside = join_hot(sided.frame.where("g = pg").select("s", "cid", "g"), opened.frame, ["s"])
+    bounds = able.frame.select("cid", F.struct("cid", "n", "most", "bits").alias("m"))
+    x = outside.frame.join(bounds, "cid").select("s", F.col("g").alias("xg"), *_side("x", "m"))
+    others = inside.withColumn("own", F.lit(True)).unionByName(outside.frame.withColumn("own", F.lit(False)))
+    y = others.join(bounds, "cid").select("s", F.col("g").alias("yg"), "own", *_side("y", "m"))
+    meet = (F.col("xg") != F.col("yg")) & (F.col("own") | (F.col("x_cid") > F.col("y_cid"))) & _can_link("x", "y")
+    rest = x.join(y, (x["s"] == y["s"]) & meet).select(
+        F.greatest("x_cid", "y_cid").alias("a"), F.least("x_cid", "y_cid").alias("b")
+    )
+    seen = tried.frame.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = rest.distinct().join(seen, ["a", "b"], "left_anti")
+    links = stage(first.frame.unionAll(_confirmed(rest, sets)), "jaccard-links")
+    for done in (able, held, scores, pivots, tried, first, groups, sided, outside, opened):
+        done.release()
+    return links
+
+
+def _near(pairs: DataFrame, able: DataFrame) -> DataFrame:
+    """The pairs that keep the bounds of similar sets."""
+    member = able.select("cid", F.struct("cid", "n", "most", "bits").alias("m"))
+    with_a = pairs.join(member.select(F.col("cid").alias("a"), F.col("m").alias("x")), "a")
+    with_b = with_a.join(member.select(F.col("cid").alias("b"), F.col("m").alias("y")), "b")
+    return with_b.select("a", "b", *_side("x", "x"), *_side("y", "y")).where(_can_link("x", "y")).select("a", "b")
