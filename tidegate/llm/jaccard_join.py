@@ -124,7 +124,9 @@ def join_classes(docs: DataFrame) -> DataFrame:
     """``doc_id``, the size of its set and its component for every row."""
     spark = docs.sparkSession
     sized = stage(_sized(docs), "jaccard-sized")
-    rows = sized.frame
+    # The smallest hashes weigh the most; what is read later is kept without them.
+    numbered = stage(sized.frame.drop("least"), "jaccard-rows")
+    rows = numbered.frame
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = (
         known.groupBy("f1", "f2")
@@ -132,7 +134,13 @@ def join_classes(docs: DataFrame) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "m.doc_id", "m.key", "m.n", "times")
     )
     classes = stage(classes, "jaccard-classes")
-    seeds = stage(_sharing(rows, classes.frame), "jaccard-seeds")
+    chosen = classes.frame.where(F.col("n") >= LEAST_SIZE).select("cid", "doc_id", "key")
+    least = sized.frame.join(chosen.hint("merge"), ["doc_id", "key"]).select("cid", "least")
+    least = stage(least, "jaccard-least")
+    sized.release()
+    free_shuffles(spark)
+    seeds = _sharing(least.frame, classes.frame)
+    least.release()
     free_shuffles(spark)
     sets = stage(_sets(docs, seeds.frame), "jaccard-sets")
     seeds.release()
@@ -157,7 +165,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
         F.coalesce("component", "doc_id").alias("component_id"),
     )
     named = stage(named, "jaccard-named").frame
-    for done in (sized, classes, links):
+    for done in (numbered, classes, links):
         done.release()
     return named
 
@@ -201,19 +209,18 @@ def _sized(docs: DataFrame) -> DataFrame:
     return _keyed(docs).mapInArrow(sized, "doc_id long, key long, n long, f1 long, f2 long, least array<bigint>")
 
 
-def _sharing(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _sharing(least: DataFrame, classes: DataFrame) -> Staged:
     """Classes that share enough of their smallest hashes with other classes."""
-    chosen = classes.where(F.col("n") >= LEAST_SIZE).select("cid", "doc_id", "key")
-    spread = rows.join(chosen, ["doc_id", "key"]).select("cid", "n", F.explode("least").alias("h"))
-    shared = (
-        spread.groupBy("h")
-        .agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"))
-        .where("lo < hi")
-        .select("h")
-    )
-    found = spread.join(shared, "h", "left_semi").groupBy("cid", "n").agg(F.count(F.lit(1)).alias("shares"))
+    spread = least.select("cid", F.explode("least").alias("h"))
+    # The hashes of a class are distinct, so a count tells whether another class has one (rows that are repeated
+    # with their id count again, which only keeps more).
+    shared = stage(spread.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h"), "jaccard-shared")
+    free_shuffles(least.sparkSession)
+    found = spread.join(shared.frame, "h", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("shares"))
     enough = F.col("shares") * 100 >= F.col("n") * (PERCENT // 10)
-    return found.where(enough).join(classes.select("cid", "key"), "cid").select("cid", "key")
+    seeds = stage(found.join(classes.select("cid", "key", "n"), "cid").where(enough).select("cid", "key"), "jaccard-seeds")
+    shared.release()
+    return seeds
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -241,8 +248,8 @@ def _sets(docs: DataFrame, seeds: DataFrame) -> DataFrame:
                 names=["cid", "n", "hashes", "signatures", "bits"],
             )
 
-    # Equal rows share a key; one of them is read.  The join has dealt the rows by key already.
-    texts = _keyed(docs).select("key", "text").join(seeds, "key").dropDuplicates(["key"]).select("cid", "text")
+    # Equal rows share a key; one of them is read.  The join has dealt the rows by key already; it is one at every size.
+    texts = _keyed(docs).select("key", "text").join(seeds.hint("merge"), "key").dropDuplicates(["key"]).select("cid", "text")
     return texts.mapInArrow(
         made, "cid long, n long, hashes array<bigint>, signatures array<bigint>, bits array<bigint>"
     )
