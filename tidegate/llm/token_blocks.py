@@ -18,6 +18,7 @@ length is one run of ids; a segment is closed behind the document that fills it.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -26,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -35,15 +37,21 @@ from tidegate.llm.common import if_small, tasks, text_of
 from tidegate.storage import stage
 
 BLOCK = 128
+HEADER = 6
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 18
 SEGMENT_SCHEMA = (
     "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, "
     "n_ids bigint, block_starts binary, payload binary"
 )
-CACHE_PIECES = 400_000
-#: A space that may belong to the white space behind it, or an empty text.
-UNEVEN = re.compile(r" (?:\s|$)|^(?: |$)")
+CACHE_PARTS = 400_000
+CHUNK_BYTES = 2_000_000
+#: A run of letters in every version of Unicode, and the single bytes that ``cuts`` knows.
+LETTER_RUN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+SPACE, APOSTROPHE = 0x20, 0x27
+IS_LETTER = np.array([i < 0x80 and chr(i).isalpha() for i in range(256)])
+IS_SIGN = np.array([0x20 < i < 0x7F and i != APOSTROPHE and not chr(i).isalpha() for i in range(256)])
+IS_BREAK = np.array([chr(i) in "\t\n\r" for i in range(256)])
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -52,37 +60,41 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     count = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint32), b""
-    rows = np.full(count * BLOCK, 0, dtype=np.int64)
+    rows = np.empty(count * BLOCK, dtype=np.int64)
     rows[:n] = ids
     rows[n:] = rows[n - 1]
     rows = rows.reshape(count, BLOCK)
     low = rows.min(axis=1)
-    rows -= low[:, None]
+    rows = (rows - low[:, None]).astype(np.uint32)
     ranks = [BLOCK * PERCENTILE // 100 - 1, BLOCK - 1]
-    edges = np.partition(rows, ranks, axis=1)[:, ranks]
+    edges = np.partition(rows, ranks, axis=1)[:, ranks].astype(np.int64)
     chosen = np.ceil(np.log2(edges + 1)).astype(np.int64)
-    too_wide = (rows >> chosen[:, :1] > 0).sum(axis=1)
+    too_wide = (rows > _mask(chosen[:, :1])).sum(axis=1)
     costs = np.stack([BLOCK // 8 * chosen[:, 0] + 5 * too_wide, BLOCK // 8 * chosen[:, 1]], axis=1)
-    widths = np.where(costs[:, 0] <= costs[:, 1], chosen[:, 0], chosen[:, 1])
-    packed: list[bytes] = [b""] * count
-    for width in np.unique(widths):
+    patched = costs[:, 0] <= costs[:, 1]
+    widths = np.where(patched, chosen[:, 0], chosen[:, 1])
+    wrong = np.where(patched, too_wide, 0)
+    sizes = HEADER + BLOCK // 8 * widths + 5 * wrong
+    starts = np.cumsum(sizes) - sizes
+    data = np.empty(sizes.sum(), np.uint8)
+    data[starts[:, None] + np.arange(4)] = low.astype("<u4").view(np.uint8).reshape(count, 4)
+    data[starts + 4] = widths
+    data[starts + 5] = wrong
+    for width in np.unique(widths[widths > 0]).tolist():
         at = np.flatnonzero(widths == width)
-        part = rows[at]
-        mask = (1 << int(width)) - 1
-        if width:
-            size = 2 if width <= 16 else 4
-            raw = (part & mask).astype(f"<u{size}").view(np.uint8).reshape(len(at), BLOCK, size)
-            bits = np.unpackbits(raw, axis=2, bitorder="little")[:, :, : int(width)]
-            body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
-        else:
-            body = np.zeros((len(at), 0), np.uint8)
-        for i, b in enumerate(at):
-            out = np.flatnonzero(part[i] > mask)
-            head = np.uint32(low[b]).tobytes() + bytes((int(width), len(out)))
-            high = (part[i][out] >> int(width)).astype("<u4").tobytes()
-            packed[b] = head + body[i].tobytes() + out.astype(np.uint8).tobytes() + high
-    sizes = np.fromiter(map(len, packed), np.int64, count)
-    return (np.cumsum(sizes) - sizes).astype(np.uint32), b"".join(packed)
+        size = 2 if width <= 16 else 4
+        raw = rows[at].astype(f"<u{size}").view(np.uint8).reshape(len(at), BLOCK, size)
+        bits = np.unpackbits(raw, axis=2, count=width, bitorder="little")
+        body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
+        data[starts[at][:, None] + np.arange(HEADER, HEADER + BLOCK // 8 * width)] = body
+    out = np.flatnonzero(wrong)
+    b, place = np.nonzero(rows[out] > _mask(widths[out])[:, None])
+    b = out[b]
+    nth, first = _patches(wrong[out], (starts + HEADER + BLOCK // 8 * widths)[out])
+    data[first + nth] = place
+    high = (rows[b, place] >> widths[b].astype(np.uint32)).astype("<u4")
+    data[(first + wrong[b] + 4 * nth)[:, None] + np.arange(4)] = high.view(np.uint8).reshape(-1, 4)
+    return starts.astype(np.uint32), data.tobytes()
 
 
 def unpack(starts: np.ndarray, payload: bytes, n: int, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -94,78 +106,143 @@ def unpack(starts: np.ndarray, payload: bytes, n: int, first: int = 0, last: int
     out = np.zeros((len(picked), BLOCK), dtype=np.int64)
     if not len(picked):
         return out.reshape(-1)
-    lows = data[picked[:, None] + np.arange(4)].copy().view("<u4")[:, 0].astype(np.int64)
+    lows = data[picked[:, None] + np.arange(4)].view("<u4")[:, 0].astype(np.int64)
     widths, wrong = data[picked + 4].astype(np.int64), data[picked + 5].astype(np.int64)
-    for width in np.unique(widths):
+    for width in np.unique(widths[widths > 0]).tolist():
         at = np.flatnonzero(widths == width)
-        if width:
-            body = data[picked[at][:, None] + 6 + np.arange(BLOCK // 8 * width)]
-            bits = np.unpackbits(body, axis=1, bitorder="little").reshape(len(at), BLOCK, width)
-            out[at] = bits.astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
-    for i in np.flatnonzero(wrong):
-        at = picked[i] + 6 + BLOCK // 8 * widths[i]
-        places = data[at : at + wrong[i]]
-        high = data[at + wrong[i] : at + 5 * wrong[i]].copy().view("<u4").astype(np.int64)
-        out[i, places] |= high << widths[i]
+        body = data[picked[at][:, None] + np.arange(HEADER, HEADER + BLOCK // 8 * width)]
+        size = 2 if width <= 16 else 4
+        bits = np.zeros((len(at), BLOCK, 8 * size), np.uint8)
+        bits[:, :, :width] = np.unpackbits(body, axis=1, bitorder="little").reshape(len(at), BLOCK, width)
+        out[at] = np.packbits(bits, axis=2, bitorder="little").view(f"<u{size}")[:, :, 0]
+    at = np.flatnonzero(wrong)
+    nth, patches = _patches(wrong[at], (picked + HEADER + BLOCK // 8 * widths)[at])
+    b = np.repeat(at, wrong[at])
+    high = data[(patches + wrong[b] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0].astype(np.int64)
+    out[b, data[patches + nth]] |= high << widths[b]
     out += lows[:, None]
     flat = out.reshape(-1)
     return flat[: n - first * BLOCK]
 
 
+def _mask(widths: np.ndarray) -> np.ndarray:
+    """The largest value of so many bits."""
+    return ((1 << widths) - 1).astype(np.uint32)
+
+
+def _patches(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each exception, its number in its block and where the exceptions of that block start."""
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return nth, np.repeat(starts, counts)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 texts, given one behind the other, where the usual pattern of byte-level BPE surely cuts.
+
+    It cuts before a space that has something visible behind it, before what is no letter behind a letter, and
+    before a letter behind a visible sign that is no apostrophe.  It cuts a single white space between something visible
+    and a letter off too; longer white space is cut by what follows, so no place is given there.  Only ASCII and Latin
+    letters are looked at.  What lies between two places is cut further in the same way as in the whole text.
+    """
+    letter = IS_LETTER[data]
+    after = np.append(data[1:], np.uint8(0))
+    lead = (data >= 0xC3) & ((data <= 0xC8) | ((data == 0xC9) & (after <= 0x8F)))
+    lead &= ~((data == 0xC3) & ((after == 0x97) | (after == 0xB7)))
+    letter |= lead
+    letter[1:] |= lead[:-1]
+    visible = letter | IS_SIGN[data] | (data == APOSTROPHE)
+    cut = np.zeros(len(data), dtype=bool)
+    cut[:-1] = (data[:-1] == SPACE) & visible[1:]
+    cut[1:] |= letter[:-1] & (data[1:] < 0x80) & ~letter[1:] & (data[1:] != SPACE)
+    cut[1:] |= letter[1:] & IS_SIGN[data[:-1]]
+    cut[2:] |= letter[2:] & IS_BREAK[data[1:-1]] & visible[:-2]
+    return cut
+
+
 class Encoder:
-    """A public tokenizer with a bounded memory of pieces.
+    """A public tokenizer with a bounded memory of parts of texts.
+
+    The pattern of byte-level BPE cuts a text before its merges begin, so the ids of a text are those of its
+    parts put together, wherever it is cut (see ``cuts``), and frequent parts are encoded once.  A run of letters,
+    with the space before it, is one word of the pattern, so the tokenizer's model alone encodes it; other
+    parts pass through the whole tokenizer, and so do texts with special tokens.
 
-    In byte-level BPE with the usual pattern, a space before a character that is no white space always
-    starts a new piece, so the ids of a text are those of its pieces put together, and frequent pieces are
-    encoded once.  The pieces that are new in a batch are encoded in one go: each starts with the only
-    space it has, so the ids that begin with a space part them again.  Texts with other white space around
-    spaces are encoded whole.
+    The ids of all known parts lie in one array, and those of a batch are gathered from it.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [c for c in map(chr, range(0x250)) if LETTER_RUN.fullmatch(c)]
+        self.as_bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in [" ", *letters]}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text.  A piece is kept by what follows its space."""
-        split = [None if UNEVEN.search(t) or any(x in t for x in self.special) else t.split(" ") for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words[1:])
-        self._learn(list(new.difference(known)))
-        firsts = iter(self.whole([words[0] for words in split if words]))
-        rest = iter(self.whole([t for t, words in zip(texts, split) if not words]))
-        out = []
-        for words in split:
-            if words:
-                ids = chain(next(firsts), chain.from_iterable(map(known.__getitem__, words[1:])))
-                out.append(np.fromiter(ids, dtype=np.int64))
-            else:
-                out.append(np.array(next(rest), dtype=np.int64))
+        """The ids of each text."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if t and not any(x in t for x in self.special)]
+        if plain:
+            for i, ids in zip(plain, self._parted([texts[i] for i in plain])):
+                out[i] = ids
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
+            out[i] = np.array(ids, dtype=np.int64)
         return out
 
+    def _parted(self, texts: list[str]) -> list[np.ndarray]:
+        array = pa.array(texts, pa.large_string())
+        _, offsets, buffer = array.buffers()
+        edges = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+        data = np.frombuffer(buffer, np.uint8)[: edges[-1]]
+        cut = cuts(data)
+        cut[edges[1:] - 1] &= data[edges[1:] - 1] != SPACE
+        cut[edges[:-1]] = True
+        starts = np.flatnonzero(cut)
+        bounds = pa.py_buffer(np.append(starts, len(data)))
+        parts = pa.Array.from_buffers(pa.large_string(), len(starts), [None, bounds, buffer])
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHE_PARTS:
+            self._forget()
+        places = np.array([self.known.get(p, -1) for p in distinct])
+        new = np.flatnonzero(places < 0)
+        places[new] = len(self.sizes) + np.arange(len(new))
+        self._learn([distinct[i] for i in new.tolist()])
+        places = places[coded.indices.to_numpy()]
+        sizes = self.sizes[places]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[places] - (ends - sizes), sizes) + np.arange(ends[-1])
+        ids = self.ids[at].astype(np.int64)
+        return np.split(ids, ends[np.searchsorted(starts, edges[1:-1]) - 1])
+
     def _learn(self, new: list[str]) -> None:
-        if not new:
-            return
-        ids = self.whole([" " + " ".join(new)])[0]
-        at = np.flatnonzero(self.opens[ids]).tolist()
-        if len(at) == len(new) and at[0] == 0:
-            self.known.update(zip(new, [ids[a:b] for a, b in zip(at, [*at[1:], len(ids)])]))
-        else:
-            self.known.update(zip(new, self.whole([f" {p}" for p in new])))
+        """Keep the ids of parts, in this order."""
+        tokenize, as_bytes = self.model.tokenize, self.as_bytes
+        others = [p for p in new if not LETTER_RUN.fullmatch(p)]
+        found = dict(zip(others, self.whole(others)))
+        runs = [found[p] if p in found else [t.id for t in tokenize(p.translate(as_bytes))] for p in new]
+        self.known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(runs), np.uint32, sizes.sum())])
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def write_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
@@ -184,7 +261,7 @@ def write_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = np.array([end_id], dtype=np.int64)
         part, segment, held, doc_ids, size = TaskContext.get().partitionId(), 0, [], [], 0
 
@@ -204,9 +281,12 @@ def write_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
             )
 
         for batch in batches:
-            keys, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            for at in range(0, len(texts), 64):
-                for key, ids in zip(keys[at : at + 64], encoder.encode(texts[at : at + 64])):
+            # Few documents at a time, by their bytes, so that what is made of them stays small.
+            chunks = np.cumsum(pc.binary_length(batch["text"]).to_numpy().astype(np.int64)) // CHUNK_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), batch.num_rows]
+            for at, to in zip(edges, edges[1:]):
+                keys, texts = batch["doc_id"][at:to].to_pylist(), batch["text"][at:to].to_pylist()
+                for key, ids in zip(keys, encoder.encode(texts)):
                     doc_ids.append(key)
                     held.append(np.concatenate([ids, end]))
                     size += len(ids) + 1
@@ -236,12 +316,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 ids = unpack(np.frombuffer(row["block_starts"], "<u4"), row["payload"], row["n_ids"])
                 lengths = np.array(row["lengths"], dtype=np.int64)
                 ends = np.cumsum(lengths)
                 raw = ids.astype("<u4")
-                crcs = [zlib.crc32(raw[e - n : e].tobytes()) for e, n in zip(ends, lengths)]
+                crcs = [zlib.crc32(raw[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * len(crcs), pa.int32()),
