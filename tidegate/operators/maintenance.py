@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.keys import partition_json, partition_key
 from tidegate.functions.names import quoted, quoted_table
-from tidegate.operators.sinks import CODEC
+from tidegate.operators.sinks import CODEC, unsorted_writes
 from tidegate.sources.schema import partition_columns
 from tidegate.storage import stage
 
@@ -144,7 +144,8 @@ def _rewrite(
     then written back, partition by partition, while the copy is still there.
 
     The way back shuffles by partition and a salt below the number of planned files, so a partition
-    that holds most of the data is split over many tasks, and none gets more files than planned.
+    that holds most of the data is split over many tasks, and none gets more files than planned.  A task gets
+    the rows of a whole file, so they are written as they come, not sorted.
     """
     rows = rows.where(partition_json(rows, partition_cols).isin(keys))
     plan = plan.toDF(*[f"_p{i}" for i in range(len(partition_cols))], "_planned")
@@ -157,15 +158,15 @@ def _rewrite(
     held = stage(chosen, "compaction")
     # Input splits are whole files or slices of them, the same again when a task is repeated.
     salted = held.frame.withColumn("_bin", F.pmod(F.spark_partition_id(), F.col("_planned")))
-    (
-        salted.repartition(files, *_columns(partition_cols), F.col("_bin"))
-        .drop("_bin", "_planned")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", CODEC)
-        .partitionBy(*partition_cols)
-        .parquet(root)
-    )
+    dealt = salted.repartition(files, *_columns(partition_cols), F.col("_bin")).drop("_bin", "_planned")
+    with unsorted_writes(rows.sparkSession):
+        (
+            dealt.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", CODEC)
+            .partitionBy(*partition_cols)
+            .parquet(root)
+        )
     held.release()
     return files
 

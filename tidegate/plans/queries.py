@@ -37,6 +37,7 @@ from tidegate.operators.sinks import (
     add_partitions,
     put_keyed,
     read_keyed,
+    unsorted_writes,
     write_csv,
     write_outcomes,
     write_partitioned,
@@ -569,7 +570,8 @@ def compaction(spark, sf_dir):
     path = fresh_path(spark, "compaction")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
     tasks = spark.sparkContext.defaultParallelism
-    lines.repartition(tasks).write.partitionBy("l_returnflag").parquet(path)
+    with unsorted_writes(spark):
+        lines.repartition(tasks).write.partitionBy("l_returnflag").parquet(path)
     before = stage(_file_counts(spark, path), "files-before").frame
     compact(spark, path, ["l_returnflag"])
     after = _file_counts(spark, path).withColumnRenamed("n_files", "n_after")
